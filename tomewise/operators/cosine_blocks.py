@@ -1,0 +1,86 @@
+"""Dot products of all documents of two blocks, for one task.
+
+A block is a bounded number of sparse vectors, so its arrays fit in memory
+whatever the corpus; Spark makes and spreads the blocks (see ``similarity``).
+"""
+
+from __future__ import annotations
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+
+# Products held at once; a slice of one word's postings at least.
+PRODUCTS_AT_ONCE = 4_000_000
+
+
+class Block:
+    """Sparse rows with their documents, norms and word codes, sorted by word."""
+
+    def __init__(self, table: pa.Table, words: pa.Array):
+        documents = table["id"].combine_chunks().dictionary_encode()
+        self.documents = documents.dictionary
+        rows = documents.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        weights = table["weight"].to_numpy()
+        squares = np.bincount(rows, weights * weights, len(self.documents))
+        self.norms = np.sqrt(squares)
+        codes = pc.index_in(table["word"].combine_chunks(), value_set=words)
+        shared = np.asarray(codes.is_valid())
+        codes = codes.drop_null().to_numpy()
+        order = np.argsort(codes, kind="stable")
+        self.codes = codes[order]
+        self.rows = rows[shared][order]
+        self.weights = weights[shared][order]
+
+
+def dot_products(left: Block, right: Block) -> np.ndarray:
+    """Matrix of dot products, summed word by word over the shared words."""
+    n_right = len(right.documents)
+    cells = len(left.documents) * n_right
+    total = np.zeros(cells)
+    first = np.searchsorted(right.codes, left.codes, "left")
+    partners = np.searchsorted(right.codes, left.codes, "right") - first
+    ends = np.cumsum(partners)
+    start = 0
+    while start < len(partners):
+        done = ends[start - 1] if start else 0
+        stop = max(int(np.searchsorted(ends, done + PRODUCTS_AT_ONCE, "right")), start + 1)
+        repeat = partners[start:stop]
+        left_at = np.repeat(np.arange(start, stop), repeat)
+        offset = np.arange(len(left_at)) - np.repeat(ends[start:stop] - repeat - done, repeat)
+        right_at = first[left_at] + offset
+        total += np.bincount(
+            left.rows[left_at] * n_right + right.rows[right_at],
+            left.weights[left_at] * right.weights[right_at],
+            cells,
+        )
+        start = stop
+    return total.reshape(len(left.documents), n_right)
+
+
+def block_similarities(cell: pa.Table) -> pa.Table:
+    """All pairs of a cell's two blocks, or of its only block, with their cosine."""
+    low = pc.min(cell["block"]).as_py()
+    lower = pc.equal(cell["block"], low)
+    tables = [cell.filter(lower), cell.filter(pc.invert(lower))]
+    if cell["cell_low"][0].as_py() == cell["cell_high"][0].as_py():
+        tables[1] = tables[0]
+    words = pc.unique(tables[1]["word"].combine_chunks())
+    left, right = Block(tables[0], words), Block(tables[1], words)
+    norms = np.outer(left.norms, right.norms)
+    dots = dot_products(left, right)
+    cosine = np.divide(dots, norms, out=np.zeros_like(dots), where=norms > 0)
+    if tables[0] is tables[1]:
+        at_left, at_right = np.triu_indices(len(left.documents), 1)
+    else:
+        at_left, at_right = np.divmod(np.arange(cosine.size), max(len(right.documents), 1))
+    one = left.documents.take(pa.array(at_left))
+    two = right.documents.take(pa.array(at_right))
+    ordered = pc.less(one, two)
+    return pa.table(
+        {
+            "book1": pc.if_else(ordered, one, two),
+            "book2": pc.if_else(ordered, two, one),
+            "similarity": cosine[at_left, at_right],
+        }
+    )
