@@ -15,22 +15,28 @@ PRODUCTS_AT_ONCE = 4_000_000
 
 
 class Block:
-    """Sparse rows with their documents, norms and word codes, sorted by word."""
+    """Sparse vectors of some documents; ``use`` picks the words that matter."""
 
-    def __init__(self, table: pa.Table, words: pa.Array):
-        documents = table["id"].combine_chunks().dictionary_encode()
-        self.documents = documents.dictionary
-        rows = documents.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        weights = table["weight"].to_numpy()
-        squares = np.bincount(rows, weights * weights, len(self.documents))
+    def __init__(self, table: pa.Table):
+        terms = table["terms"].combine_chunks()
+        self.documents = table["id"].combine_chunks()
+        sizes = pc.list_value_length(terms).to_numpy()
+        self.rows = np.repeat(np.arange(len(sizes)), sizes)
+        entries = pc.list_flatten(terms)
+        self.words = entries.field("word")
+        self.weights = entries.field("weight").to_numpy()
+        squares = np.bincount(self.rows, self.weights * self.weights, len(sizes))
         self.norms = np.sqrt(squares)
-        codes = pc.index_in(table["word"].combine_chunks(), value_set=words)
-        shared = np.asarray(codes.is_valid())
+
+    def use(self, words: pa.Array) -> None:
+        """Keep entries of ``words``, as their codes and in the codes' order."""
+        codes = pc.index_in(self.words, value_set=words)
+        kept = np.flatnonzero(np.asarray(codes.is_valid()))
         codes = codes.drop_null().to_numpy()
         order = np.argsort(codes, kind="stable")
         self.codes = codes[order]
-        self.rows = rows[shared][order]
-        self.weights = weights[shared][order]
+        self.rows = self.rows[kept][order]
+        self.weights = self.weights[kept][order]
 
 
 def dot_products(left: Block, right: Block) -> np.ndarray:
@@ -60,17 +66,18 @@ def dot_products(left: Block, right: Block) -> np.ndarray:
 
 def block_similarities(cell: pa.Table) -> pa.Table:
     """All pairs of a cell's two blocks, or of its only block, with their cosine."""
-    low = pc.min(cell["block"]).as_py()
-    lower = pc.equal(cell["block"], low)
-    tables = [cell.filter(lower), cell.filter(pc.invert(lower))]
-    if cell["cell_low"][0].as_py() == cell["cell_high"][0].as_py():
-        tables[1] = tables[0]
-    words = pc.unique(tables[1]["word"].combine_chunks())
-    left, right = Block(tables[0], words), Block(tables[1], words)
+    lower = pc.equal(cell["block"], cell["cell_low"])
+    left = Block(cell.filter(lower))
+    one_block = cell["cell_low"][0].as_py() == cell["cell_high"][0].as_py()
+    right = left if one_block else Block(cell.filter(pc.invert(lower)))
+    words = pc.unique(right.words)
+    left.use(words)
+    if not one_block:
+        right.use(words)
     norms = np.outer(left.norms, right.norms)
     dots = dot_products(left, right)
     cosine = np.divide(dots, norms, out=np.zeros_like(dots), where=norms > 0)
-    if tables[0] is tables[1]:
+    if one_block:
         at_left, at_right = np.triu_indices(len(left.documents), 1)
     else:
         at_left, at_right = np.divmod(np.arange(cosine.size), max(len(right.documents), 1))

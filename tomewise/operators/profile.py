@@ -13,14 +13,16 @@ REPORTED_FIELDS = ("title", "release_date", "release_year", "language", "encodin
 def metadata(books: DataFrame, key: str = "file_name", text_col: str = "text") -> DataFrame:
     """``(key, title, release_date, release_year, language, encoding)``."""
     text = F.col(text_col)
-    return books.select(
-        key,
+    fields = F.struct(
         header.title(text).alias("title"),
         header.release_date(text).alias("release_date"),
         header.release_year(text).alias("release_year"),
         header.language(text).alias("language"),
         header.encoding(text).alias("encoding"),
     )
+    # Filters on the fields stay above inline; pushed into the text they would
+    # match every pattern a second time.
+    return books.select(key, F.inline(F.array(fields)))
 
 
 def books_per_year(meta: DataFrame) -> DataFrame:
