@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tomewise.functions import header
+from tomewise.plans.storage import store
 
 MIN_GAP = 1
 MAX_GAP = 20
@@ -204,10 +205,11 @@ def profile_edges(profiles: DataFrame) -> DataFrame:
     ``max_year_gap`` hold for any one author of each. Authors of a profile that is
     paired with itself influence each other, but nobody themselves.
     """
-    years = (
+    years = store(
         profiles.groupBy("profile")
         .agg(F.count(F.lit(1)).alias("authors"), F.min("author").alias("first"))
-        .select("*", F.inline("profile"))
+        .select("*", F.inline("profile")),
+        "profile-years",
     )
 
     def side(name: str) -> DataFrame:
@@ -275,7 +277,7 @@ def author_edges(profiles: DataFrame) -> DataFrame:
     """
     members = _members(profiles)
     cells = (
-        profile_edges(profiles)
+        store(profile_edges(profiles), "profile-edges")
         .withColumn("early_piece", _numbers_to(_pieces(profiles, F.col("early_authors"))))
         .withColumn("late_piece", _numbers_to(_pieces(profiles, F.col("late_authors"))))
     )
@@ -316,7 +318,7 @@ def strongest_edges(profiles: DataFrame, k: int = 20) -> DataFrame:
     come first. So only the best ``k`` profile pairs, by their best edge, and the
     first ``k + 1`` authors of a profile can be in the answer.
     """
-    edges = profile_edges(profiles)
+    edges = store(profile_edges(profiles), "profile-edges")
     order = [F.desc("num_connections"), "early_first", "late_first"]
     # The best edge of a profile with itself is not that of its first author
     # twice, so the two kinds are ranked apart.
@@ -382,7 +384,7 @@ def in_degree(profiles: DataFrame) -> DataFrame:
 
 def author_metrics(profiles: DataFrame) -> DataFrame:
     """``(author, out_degree, in_degree)`` of authors with an edge, 0 for none."""
-    edges = profile_edges(profiles)
+    edges = store(profile_edges(profiles), "profile-edges")
     degrees = (
         _out_degree(edges)
         .join(_in_degree(edges).withColumnRenamed("authors", "same"), "profile", "full_outer")
