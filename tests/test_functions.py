@@ -148,3 +148,8 @@ def test_words(spark):
 def test_count_tokens_join_across_punctuation(spark):
     value = "We’re up-to DATE in 1999!\x0bv\t— x"
     assert one(spark, value, text.count_tokens) == ["were", "upto", "datein", "1999\x0bv", "x"]
+
+
+def test_count_tokens_drop_every_other_character(spark):
+    others = "\x85\u2028\u2029\xa0\x1c\u00e9\U0001f600_-\u0660"
+    assert one(spark, f"a{others}b\r\fc", text.count_tokens) == ["ab", "c"]
