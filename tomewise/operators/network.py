@@ -186,14 +186,16 @@ def closest_edges(books: DataFrame, k: int = 20) -> DataFrame:
 
 
 def author_profiles(books: DataFrame) -> DataFrame:
-    """``(author, profile)``; a profile lists years with their numbers of books.
+    """``(author, profile, years)``; years with their numbers of books, in order.
 
-    It has one entry per year, so 200 at most. The functions below take this
-    table; store it first.
+    There is one entry per year, so 200 at most. ``profile`` is a digest of them,
+    which is shorter to shuffle and compare. The functions below take this table;
+    store it first.
     """
     per_year = books.groupBy("author", "release_year").agg(F.count(F.lit(1)).alias("n"))
     years = F.sort_array(F.collect_list(F.struct("release_year", "n")))
-    return per_year.groupBy("author").agg(years.alias("profile"))
+    digest = F.unhex(F.sha2(F.to_json("years"), 256))
+    return per_year.groupBy("author").agg(years.alias("years")).withColumn("profile", digest)
 
 
 def profile_edges(profiles: DataFrame) -> DataFrame:
@@ -206,9 +208,9 @@ def profile_edges(profiles: DataFrame) -> DataFrame:
     paired with itself influence each other, but nobody themselves.
     """
     years = store(
-        profiles.groupBy("profile")
+        profiles.groupBy("profile", "years")
         .agg(F.count(F.lit(1)).alias("authors"), F.min("author").alias("first"))
-        .select("*", F.inline("profile")),
+        .select("profile", "authors", "first", F.inline("years")),
         "profile-years",
     )
 
