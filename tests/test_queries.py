@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from tests.oracle import compare, connect
+from tomewise.oracles import ORACLES
+from tomewise.queries import QUERIES
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -16,12 +18,12 @@ def db():
 
 
 def test_every_query_has_its_sql():
-    assert queries().keys() == oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, db, name):
-    assert compare(queries()[name](spark, SF_DIR), db, oracle_sql()[name]) == ""
+    assert compare(QUERIES[name](spark, SF_DIR), db, ORACLES[name]) == ""
 
 
 def test_entry(spark):
