@@ -4,12 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tomewise.llm import bpe, pii
 from tomewise.llm.common import held_out, table
 from tomewise.llm.jaccard import near_duplicates
 from tomewise.llm.language import add_language, learn_languages
+from tomewise.llm.packing import pack
 from tomewise.llm.toxicity import add_toxicity, learn_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +46,19 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op6_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+@query
+def op1_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.digest(docs, pii.learn_field(docs))
+
+
+@query
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.digest(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
