@@ -12,7 +12,9 @@ from tomewise.llm import bpe, pii
 from tomewise.llm.common import held_out, table
 from tomewise.llm.jaccard import near_duplicates
 from tomewise.llm.language import add_language, learn_languages
+from tomewise.llm.licenses import scan
 from tomewise.llm.packing import pack
+from tomewise.llm.quality import judge
 from tomewise.llm.toxicity import add_toxicity, learn_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,3 +64,13 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(table(spark, sf_dir, "documents"))
