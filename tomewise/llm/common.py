@@ -10,9 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import StructField, StructType
 
-from tomewise.plans.storage import scratch_dir, store
+from tomewise.plans.storage import BROADCAST_BYTES, scratch_dir, store
 
-__all__ = ["append_columns", "held_out", "map_rows", "sample_by_hash", "scratch_dir", "store", "table"]
+__all__ = ["append_columns", "held_out", "map_rows", "sample_by_hash", "scratch_dir", "small", "store", "table"]
+
+# Bytes that a broadcast row of a few numbers takes in a hash table.
+ROW_BYTES = 64
+BATCH_ROWS = 1000
 
 # Rows of one Arrow batch that are worked on together, so that what a task holds besides the batch is small.
 SLICE_ROWS = 512
@@ -32,6 +36,18 @@ def sample_by_hash(df: DataFrame, key: str, rows: int) -> DataFrame:
     return df.orderBy(F.xxhash64(F.col(key)), F.col(key)).limit(rows)
 
 
+def small(df: DataFrame) -> DataFrame:
+    """A stored table of a few numbers: marked for broadcast if its measured size allows, else as it is."""
+    return F.broadcast(df) if df.count() * ROW_BYTES <= BROADCAST_BYTES else df
+
+
+def _bound_batches(spark: SparkSession) -> None:
+    """Texts can be long: let Arrow batches have at most 1000 rows, unless the session has a lower bound."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def append_columns(
     df: DataFrame, inputs: list[str], fields: list[StructField], start: Callable[[], Callable]
 ) -> DataFrame:
@@ -56,6 +72,7 @@ def append_columns(
                 arrays += [pa.array(values, kind) for values, kind in zip(got, types, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=[*old, *new])
 
+    _bound_batches(df.sparkSession)
     return df.select(*(F.col(f"`{c}`") for c in read)).mapInArrow(run, schema)
 
 
@@ -78,4 +95,5 @@ def map_rows(
                 arrays = [pa.array(values, kind.type) for values, kind in zip(got, arrow, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=arrow.names)
 
+    _bound_batches(df.sparkSession)
     return df.select(*(F.col(f"`{c}`") for c in inputs)).mapInArrow(run, schema)

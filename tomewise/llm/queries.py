@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tomewise.llm import bpe, pii
+from tomewise.llm.ann import nearest
 from tomewise.llm.common import held_out, table
 from tomewise.llm.jaccard import near_duplicates
 from tomewise.llm.language import add_language, learn_languages
@@ -16,6 +17,7 @@ from tomewise.llm.licenses import scan
 from tomewise.llm.packing import pack
 from tomewise.llm.quality import judge
 from tomewise.llm.toxicity import add_toxicity, learn_toxicity
+from tomewise.llm.wrappers import learn_wrappers, main_text
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -74,3 +76,15 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    found = main_text(pages, learn_wrappers(pages))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+@query
+def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
