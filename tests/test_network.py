@@ -55,10 +55,10 @@ def tuples(df):
     return [tuple(r) for r in df.collect()]
 
 
-@pytest.fixture(params=[(4096, 1000), (3, 1000), (2, 7)], ids=["whole", "chunks", "few large"])
+@pytest.fixture(params=[(4096, 1024), (3, 1024), (2, 2)], ids=["whole", "chunks", "pieces"])
 def sizes(request, monkeypatch):
     monkeypatch.setattr(network, "CHUNK_ROWS", request.param[0])
-    monkeypatch.setattr(network, "LARGE_PROFILES", request.param[1])
+    monkeypatch.setattr(network, "PIECE_AUTHORS", request.param[1])
 
 
 def test_book_edges(books, edges, sizes):
@@ -84,6 +84,25 @@ def test_degrees(profiles, pairs, sizes):
     assert sum(out.values()) == sum(into.values()) == len(pairs)
 
 
+def test_degrees_with_years_far_apart(spark):
+    """Authors with several windows, whose years spread over both centuries."""
+    draw = random.Random(3)
+    rows = [(f"A{i:02}", draw.randint(1900, 2099)) for i in range(60) for _ in range(draw.randint(1, 6))]
+    books = spark.createDataFrame([(f"b{i}", *r) for i, r in enumerate(rows)], "file_name string, author string, release_year int")
+    profiles = store(network.author_profiles(books), "profiles")
+    met = {(a, b) for a, y in rows for b, z in rows if a != b and 1 <= z - y <= 20}
+    pairs = sum(a != b and 1 <= z - y <= 20 for a, y in rows for b, z in rows)
+    assert dict(tuples(network.out_degree(profiles))) == Counter(a for a, _ in met)
+    assert dict(tuples(network.in_degree(profiles))) == Counter(b for _, b in met)
+    assert tuple(network.influence_totals(profiles).head()) == (pairs, len(met))
+
+
+def test_strongest_edges_from_few_heavy_profiles(profiles, pairs, monkeypatch):
+    monkeypatch.setattr(network, "HEAVY_PROFILES", 3)
+    want = sorted(pairs, key=lambda e: (-e[2], e[0], e[1]))[:5]
+    assert tuples(network.strongest_edges(profiles, 5)) == want
+
+
 @pytest.mark.parametrize("k", [1, 20, 400])
 def test_closest_edges(books, edges, k):
     want = sorted(edges, key=lambda e: (e[4], e[0], e[1], e[2]))[:k]

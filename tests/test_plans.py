@@ -6,9 +6,9 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
 from tomewise.operators import network, similarity, tfidf
 from tomewise.plans.storage import store
+from tomewise.queries import QUERIES
 from tomewise.sources import documents
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -19,26 +19,25 @@ def plan(df) -> str:
 
 
 def shuffles(text: str) -> list[str]:
-    """Exchanges, without the one that spreads a table of a single split."""
-    return [x for x in re.findall(r"Exchange .*", text) if "REPARTITION_BY_NUM" not in x]
+    return re.findall(r"Exchange .*", text)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_no_cross_joins_and_no_python(spark, name):
-    text = plan(queries()[name](spark, SF_DIR))
+    text = plan(QUERIES[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
     assert "EvalPython" not in text and "MapInPandas" not in text
     # The full pair table is the one place with Arrow batches.
-    assert "FlatMapGroupsInArrow" not in text or name in ("cosine_pairs", "top_similar_pairs")
+    assert "FlatMapGroupsInArrow" not in text or name == "cosine_pairs"
 
 
 def test_scans_read_two_columns(spark):
-    text = plan(queries()["tfidf"](spark, SF_DIR))
+    text = plan(QUERIES["tfidf"](spark, SF_DIR))
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in text
 
 
 def test_target_is_pushed_into_the_scan(spark):
-    text = plan(queries()["top_terms_for_doc"](spark, SF_DIR))
+    text = plan(QUERIES["top_terms_for_doc"](spark, SF_DIR))
     assert "EqualTo(doc_id,10)" in text
 
 
@@ -58,8 +57,8 @@ def test_texts_are_tokenized_once_per_pass(spark):
 
 
 def test_header_is_matched_once_under_a_filter(spark):
-    text = plan(queries()["books_complete"](spark, SF_DIR))
-    assert text.count("Author:[") == plan(queries()["authors"](spark, SF_DIR)).count("Author:[")
+    text = plan(QUERIES["books_complete"](spark, SF_DIR))
+    assert text.count("Author:[") == plan(QUERIES["authors"](spark, SF_DIR)).count("Author:[")
 
 
 def test_unit_vectors_shuffle_once(spark):
@@ -82,7 +81,7 @@ def test_copies_are_cut_before_the_shuffle(spark, monkeypatch):
         return store(df, name)
 
     monkeypatch.setattr(similarity, "store", keep)
-    queries()["top_similar_pairs"](spark, SF_DIR)
+    QUERIES["top_similar_pairs"](spark, SF_DIR)
     assert "WindowGroupLimit" in stored["copies"].split("Exchange hashpartitioning(bag")[1]
 
 

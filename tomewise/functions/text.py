@@ -22,14 +22,13 @@ END_MARKERS = (
 
 # Words that carry no meaning.
 STOP_WORDS = (
-    "the and for are but not you all can her was "
-    "one our out day get has him his how man new "
-    "now old see two way who boy did its let put "
-    "say she too use had may any from have that "
-    "this with they will your about could there their "
-    "which would these other than then them been into "
-    "such only some time very what when where were"
-).split()
+    "the", "and", "for", "are", "but", "not", "you", "all", "can", "her", "was", "one", "our",
+    "out", "day", "get", "has", "him", "his", "how", "man", "new", "now", "old", "see", "two",
+    "way", "who", "boy", "did", "its", "let", "put", "say", "she", "too", "use", "had", "may",
+    "any", "from", "have", "that", "this", "with", "they", "will", "your", "about", "could",
+    "there", "their", "which", "would", "these", "other", "than", "then", "them", "been", "into",
+    "such", "only", "some", "time", "very", "what", "when", "where", "were",
+)
 
 
 def _chars_before(text: Column, marker: str) -> Column:
@@ -84,6 +83,6 @@ def count_tokens(line: Column) -> Column:
     Vertical tab is kept by the character filter and is no separator, so it can
     stand inside a token.
     """
-    # The same characters as in [^a-z0-9\s], which Java matches ten times slower.
+    # The same characters as in [^a-z0-9\s], which Java matches two to three times slower.
     kept = F.regexp_replace(F.lower(line), r"(?s)(?![a-z0-9\s]).", "")
     return F.filter(F.split(kept, r"[ \t\n\r\f]+"), lambda token: token != "")

@@ -7,8 +7,8 @@ it more than once.
 Author pairs are not compared one by one. Authors are grouped by profile, the
 number of books they have in each year; influence between two profiles holds for
 all their authors, so it is found once per pair of profiles, by an equi-join on
-year, and degrees and totals are sums over profiles. Only the author-level edge
-list itself spells out author pairs.
+year. Degrees and totals need no pairs at all: they are sums over tables by year.
+Only the author-level edge list itself spells out author pairs.
 """
 
 from __future__ import annotations
@@ -21,12 +21,17 @@ from tomewise.plans.storage import store
 
 MIN_GAP = 1
 MAX_GAP = 20
+# Years are cut out of text as 19xx or 20xx.
+FIRST_YEAR = 1900
 
 # Rows of one side that meet in one task.
 CHUNK_ROWS = 4096
 
-# Fewer than this many profiles can each hold more than its inverse of all authors.
-LARGE_PROFILES = 1000
+# Authors of one profile that meet in one task.
+PIECE_AUTHORS = 1024
+
+# Profiles with most books that are compared first, for a bound on the strongest edges.
+HEAVY_PROFILES = 256
 
 
 def authors_and_years(
@@ -243,24 +248,16 @@ def _other_authors(edge_authors: str) -> Column:
     return F.col(edge_authors) - (F.col("early") == F.col("late")).cast("int")
 
 
-def _pieces(profiles: DataFrame, authors: Column) -> Column:
-    """Into how many pieces the authors of a profile are cut: 1 unless it is large."""
-    everyone = profiles.agg(F.count(F.lit(1))).scalar()
-    large = authors * LARGE_PROFILES > everyone
-    return F.when(large, F.ceil(authors / CHUNK_ROWS)).otherwise(1).cast("int")
+def _pieces(authors: Column) -> Column:
+    """Into how many pieces the authors of a profile are cut, so that none has many more than its bound."""
+    return F.ceil(authors / PIECE_AUTHORS).cast("int")
 
 
 def _members(profiles: DataFrame) -> DataFrame:
-    """``(author, profile, piece)``.
-
-    Sizes are looked up for large profiles only. There are fewer than
-    ``LARGE_PROFILES`` of these by arithmetic, so they can be broadcast.
-    """
+    """``(author, profile, piece)``; large profiles are looked up, and only they are cut."""
     sizes = profiles.groupBy("profile").agg(F.count(F.lit(1)).alias("authors"))
-    cut = sizes.select("profile", _pieces(profiles, F.col("authors")).alias("pieces"))
-    return profiles.join(
-        F.broadcast(cut.filter(F.col("pieces") > 1)), "profile", "left"
-    ).select(
+    cut = sizes.select("profile", _pieces(F.col("authors")).alias("pieces")).filter(F.col("pieces") > 1)
+    return profiles.join(cut, "profile", "left").select(
         "author",
         "profile",
         F.pmod(F.xxhash64("author"), F.coalesce("pieces", F.lit(1))).cast("int").alias("piece"),
@@ -280,8 +277,8 @@ def author_edges(profiles: DataFrame) -> DataFrame:
     members = _members(profiles)
     cells = (
         store(profile_edges(profiles), "profile-edges")
-        .withColumn("early_piece", _numbers_to(_pieces(profiles, F.col("early_authors"))))
-        .withColumn("late_piece", _numbers_to(_pieces(profiles, F.col("late_authors"))))
+        .withColumn("early_piece", _numbers_to(_pieces(F.col("early_authors"))))
+        .withColumn("late_piece", _numbers_to(_pieces(F.col("late_authors"))))
     )
     cell = ["early", "early_piece", "late", "late_piece"]
     influencers = members.select(
@@ -304,12 +301,59 @@ def author_edges(profiles: DataFrame) -> DataFrame:
     )
 
 
+def edges_of_author(books: DataFrame, author: str) -> DataFrame:
+    """The author edges from or to one author: their years meet all others, and no other pair is made."""
+    per_year = books.groupBy("author", "release_year").agg(F.count(F.lit(1)).alias("n"))
+    # A row per year of one author, 200 at most.
+    mine = per_year.filter(F.col("author") == F.lit(author)).select(
+        F.col("release_year").alias("mine"), F.col("n").alias("n_mine")
+    )
+    met = mine.select("mine", "n_mine", F.explode(F.sequence(F.col("mine") - MAX_GAP, F.col("mine") + MAX_GAP)).alias("release_year"))
+    gap = F.col("release_year") - F.col("mine")
+    edges = (
+        per_year.filter(F.col("author") != F.lit(author))
+        .join(F.broadcast(met.filter(F.abs(gap).between(MIN_GAP, MAX_GAP))), "release_year")
+        .select(
+            F.when(gap > 0, F.lit(author)).otherwise(F.col("author")).alias("influencer"),
+            F.when(gap > 0, F.col("author")).otherwise(F.lit(author)).alias("influenced"),
+            (F.col("n") * F.col("n_mine")).alias("met"),
+            F.abs(gap).alias("gap"),
+        )
+    )
+    return edges.groupBy("influencer", "influenced").agg(
+        F.sum("met").alias("num_connections"), F.min("gap").alias("min_year_gap"), F.max("gap").alias("max_year_gap")
+    )
+
+
 def influence_totals(profiles: DataFrame) -> DataFrame:
-    """One row: numbers of book edges and of author edges, without building them."""
-    pairs = F.col("early_authors") * _other_authors("late_authors")
-    return profile_edges(profiles).agg(
-        F.coalesce(F.sum(pairs * F.col("num_connections")), F.lit(0)).alias("book_edges"),
-        F.coalesce(F.sum(pairs), F.lit(0)).alias("author_edges"),
+    """One row: numbers of book edges and of author edges, without building them.
+
+    Book edges are pairs of books 1 to 20 years apart, a sum over two years' numbers of books, less those of one
+    author. Author edges are the sum of all out-degrees.
+    """
+    per_year = profiles.select(F.inline("years")).groupBy("release_year").agg(F.sum("n").alias("n"))
+    # A row per year, 200 at most.
+    later = per_year.select(F.col("release_year").alias("year_late"), F.col("n").alias("n_late"))
+    all_pairs = (
+        per_year.select(F.col("n").alias("n_early"), _later_years("release_year").alias("year_late"))
+        .join(F.broadcast(later), "year_late")
+        .agg(F.coalesce(F.sum(F.col("n_early") * F.col("n_late")), F.lit(0)).alias("all_pairs"))
+    )
+    own = F.aggregate(
+        "years",
+        F.lit(0).cast("bigint"),
+        lambda total, early: total
+        + early["n"]
+        * F.aggregate(
+            F.filter("years", lambda late: _in_reach(late["release_year"] - early["release_year"])),
+            F.lit(0).cast("bigint"),
+            lambda n, late: n + late["n"],
+        ),
+    )
+    own_pairs = profiles.agg(F.coalesce(F.sum(own), F.lit(0)).alias("own_pairs")).scalar()
+    authors = out_degree(profiles).agg(F.coalesce(F.sum("out_degree"), F.lit(0)).alias("n")).scalar()
+    return all_pairs.select(
+        (F.col("all_pairs") - own_pairs).alias("book_edges"), authors.alias("author_edges")
     )
 
 
@@ -320,6 +364,19 @@ def strongest_edges(profiles: DataFrame, k: int = 20) -> DataFrame:
     come first. So only the best ``k`` profile pairs, by their best edge, and the
     first ``k + 1`` authors of a profile can be in the answer.
     """
+    # No edge has more connections than the product of its authors' books. The k-th best edge among the profiles
+    # with most books bounds the answer from below, and drops all profiles that can not reach it.
+    books = F.aggregate("years", F.lit(0).cast("bigint"), lambda total, y: total + y["n"])
+    sized = profiles.withColumn("books", books)
+    kinds = sized.groupBy("profile").agg(F.max("books").alias("books"))
+    most = kinds.orderBy(F.desc("books"), "profile").limit(HEAVY_PROFILES)
+    heavy = profiles.join(F.broadcast(most.select("profile")), "profile", "left_semi")
+    pairs = F.col("early_authors") * _other_authors("late_authors")
+    best = profile_edges(heavy).withColumn("edges", pairs).orderBy(F.desc("num_connections")).limit(k)
+    rows = best.agg(F.min("num_connections").alias("floor"), F.sum("edges").alias("edges")).head()
+    if rows["edges"] is not None and rows["edges"] >= k:
+        limit = sized.agg(F.max("books")).head()[0]
+        profiles = sized.filter(F.col("books") * F.lit(limit) >= rows["floor"]).select("author", "years", "profile")
     edges = store(profile_edges(profiles), "profile-edges")
     order = [F.desc("num_connections"), "early_first", "late_first"]
     # The best edge of a profile with itself is not that of its first author
@@ -350,50 +407,89 @@ def strongest_edges(profiles: DataFrame, k: int = 20) -> DataFrame:
 # --- degrees ----------------------------------------------------------------
 
 
-def _out_degree(edges: DataFrame) -> DataFrame:
-    return edges.groupBy(F.col("early").alias("profile")).agg(
-        F.max("early_authors").alias("authors"), F.sum(_other_authors("late_authors")).alias("out_degree")
-    )
+def _in_reach(gap: Column) -> Column:
+    return gap.between(MIN_GAP, MAX_GAP)
+
 
+def _windows(shift_first: int, shift_last: int) -> Column:
+    """The years of influence of an author as intervals ``(l, r)``, in order.
 
-def _in_degree(edges: DataFrame) -> DataFrame:
-    return edges.groupBy(F.col("late").alias("profile")).agg(
-        F.max("late_authors").alias("authors"), F.sum(_other_authors("early_authors")).alias("in_degree")
+    Books at most 20 years apart have windows without a gap, so each run of such years is one interval.
+    """
+    years = F.col("years")
+    run = MAX_GAP - MIN_GAP + 1
+
+    def year(i: Column) -> Column:
+        return F.get(years, i)["release_year"]
+
+    firsts = F.filter(years, lambda y, i: (i == 0) | (y["release_year"] - year(i - 1) > run))
+    lasts = F.filter(years, lambda y, i: (i == F.size(years) - 1) | (year(i + 1) - y["release_year"] > run))
+    return F.zip_with(
+        firsts,
+        lasts,
+        lambda a, b: F.struct(
+            (a["release_year"] + shift_first).alias("l"), (b["release_year"] + shift_last).alias("r")
+        ),
     )
 
 
-def _of_authors(degrees: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Degrees of profiles, given to each of their authors."""
-    pieces = _pieces(profiles, F.col("authors"))
-    return (
-        degrees.withColumn("piece", _numbers_to(pieces))
-        .join(_members(profiles), ["profile", "piece"])
-        .drop("profile", "piece", "authors")
+def _degrees(profiles: DataFrame, name: str, shift_first: int, shift_last: int) -> DataFrame:
+    """``(author, name)``: how many other authors have a book in an author's window; authors with none are absent.
+
+    For one interval [l, r]: of the authors with a book in it, each has one first book in it, whose year is y and
+    whose author's year before is p < l <= y <= r. So authors are counted per (p, y), at most 200 by 200 rows, and
+    an interval's number is a sum over them. The few authors with several intervals are grouped by these,
+    and their sets of years are held against the sets of years of all authors.
+    """
+    authors = store(
+        profiles.select("author", "years", _windows(shift_first, shift_last).alias("windows")).withColumn(
+            "years", F.transform("years", lambda y: y["release_year"])
+        ),
+        "author-windows",
     )
+    itself = F.exists(
+        "years",
+        lambda y: F.exists("years", lambda z: (z - y >= MIN_GAP) & (z - y <= MAX_GAP)),
+    ).cast("bigint")
+
+    steps = F.transform("years", lambda y, i: F.struct(F.get("years", i - 1).alias("p"), y.alias("y")))
+    counted = authors.select(F.inline(steps)).groupBy("p", "y").agg(F.count(F.lit(1)).alias("n"))
+    # The first year of all is 1900, so no window starts before 1880.
+    after = F.greatest(F.coalesce(F.col("p") + 1, F.lit(0)), F.lit(FIRST_YEAR - MAX_GAP))
+    starts = counted.select(F.explode(F.sequence(after, "y")).alias("l"), "y", "n").groupBy("l", "y").agg(F.sum("n").alias("n"))
+
+    one = authors.filter(F.size("windows") == 1).select("author", F.element_at("windows", 1).alias("w"), itself.alias("itself"))
+    one = one.select("author", "w.l", "w.r", "itself")
+    # A row per interval: fewer than 220 by 220.
+    found = (
+        one.select("l", "r").distinct().join(F.broadcast(starts), "l").filter("y between l and r")
+        .groupBy("l", "r").agg(F.sum("n").alias("n"))
+    )
+    simple = one.join(F.broadcast(found), ["l", "r"]).select("author", (F.col("n") - F.col("itself")).alias(name))
+
+    several = authors.filter(F.size("windows") > 1).select("author", "windows", itself.alias("itself"))
+    spread = F.explode(F.flatten(F.transform("windows", lambda w: F.sequence(w["l"], w["r"])))).alias("y")
+    sets = authors.groupBy("years").agg(F.count(F.lit(1)).alias("n")).withColumn("y", F.explode("years"))
+    hit = several.select("windows").distinct().select("windows", spread).join(sets, "y").select("windows", "years", "n").distinct()
+    hit = hit.groupBy("windows").agg(F.sum("n").alias("n"))
+    rest = several.join(hit, "windows").select("author", (F.col("n") - F.col("itself")).alias(name))
+    return simple.unionByName(rest).filter(F.col(name) > 0)
 
 
 def out_degree(profiles: DataFrame) -> DataFrame:
     """``(author, out_degree)``: how many authors each author influences."""
-    degrees = _of_authors(_out_degree(profile_edges(profiles)), profiles)
-    return degrees.select("author", "out_degree")
+    return _degrees(profiles, "out_degree", MIN_GAP, MAX_GAP)
 
 
 def in_degree(profiles: DataFrame) -> DataFrame:
     """``(author, in_degree)``: how many authors influence each author."""
-    degrees = _of_authors(_in_degree(profile_edges(profiles)), profiles)
-    return degrees.select("author", "in_degree")
+    return _degrees(profiles, "in_degree", -MAX_GAP, -MIN_GAP)
 
 
 def author_metrics(profiles: DataFrame) -> DataFrame:
     """``(author, out_degree, in_degree)`` of authors with an edge, 0 for none."""
-    edges = store(profile_edges(profiles), "profile-edges")
-    degrees = (
-        _out_degree(edges)
-        .join(_in_degree(edges).withColumnRenamed("authors", "same"), "profile", "full_outer")
-        .select("profile", F.coalesce("authors", "same").alias("authors"), "out_degree", "in_degree")
-        .fillna(0, ["out_degree", "in_degree"])
-    )
-    return _of_authors(degrees, profiles).select("author", "out_degree", "in_degree")
+    both = out_degree(profiles).join(in_degree(profiles), "author", "full_outer")
+    return both.select("author", "out_degree", "in_degree").fillna(0, ["out_degree", "in_degree"])
 
 
 def top_out_degree(metrics: DataFrame, k: int = 5) -> DataFrame:

@@ -6,11 +6,19 @@ prefixes or blocks, so that they check those by other means.
 
 from __future__ import annotations
 
-from tomewise.functions.text import STOP_WORDS
-from tomewise.queries import TARGET
 from tomewise.sources.documents import BOOK_TEXT_SQL
 
-_STOP_LIST = ", ".join(f"'{word}'" for word in STOP_WORDS)
+TARGET = 10
+# The stop words, stated here on their own so that a change of the library's would show.
+_STOP_WORDS = (
+    "the", "and", "for", "are", "but", "not", "you", "all", "can", "her", "was", "one", "our", "out", "day",
+    "get", "has", "him", "his", "how", "man", "new", "now", "old", "see", "two", "way", "who", "boy", "did",
+    "its", "let", "put", "say", "she", "too", "use", "had", "may", "any", "from", "have", "that", "this",
+    "with", "they", "will", "your", "about", "could", "there", "their", "which", "would", "these", "other",
+    "than", "then", "them", "been", "into", "such", "only", "some", "time", "very", "what", "when", "where",
+    "were",
+)
+_STOP_LIST = ", ".join(f"'{word}'" for word in _STOP_WORDS)
 _CODES = [9, 10, 11, 12, 13, 28, 29, 30, 31, 32, 133, 160, 5760]
 _CODES += [*range(8192, 8203), 8232, 8233, 8239, 8287, 12288]
 _SPACES = " || ".join(f"chr({code})" for code in _CODES)
@@ -18,6 +26,7 @@ _SPACES = " || ".join(f"chr({code})" for code in _CODES)
 _BOOKS = f"books AS (SELECT doc_id, {BOOK_TEXT_SQL} AS text FROM documents)"
 
 
+# The header patterns, in this dialect.
 def _field(pattern: str) -> str:
     return f"nullif(trim(regexp_extract(substr(text, 1, 2000), '(?i){pattern}', 1)), '')"
 
@@ -186,6 +195,8 @@ ORACLES: dict[str, str] = {
         FROM weights GROUP BY doc_id""",
     "doc_norms": f"""WITH {_PAIRS} SELECT doc_id, round(norm, 9) AS norm FROM norms""",
     "cosine_pairs": f"WITH {_PAIRS} SELECT * FROM pairs",
+    "similar_pairs": f"""WITH {_PAIRS} SELECT book1, book2, similarity FROM pairs
+        WHERE similarity >= 0.5""",
     "avg_similarity": f"WITH {_PAIRS} SELECT round(avg(cosine), 9) AS avg_similarity FROM exact",
     "top_similar_to_doc": f"""WITH {_PAIRS}, mine AS (
           SELECT CASE WHEN book1 = {TARGET} THEN book2 ELSE book1 END AS other_book, similarity
@@ -207,6 +218,8 @@ ORACLES: dict[str, str] = {
     "closest_edges": f"""WITH {_EDGES} SELECT * FROM edges
         ORDER BY year_gap, influencer, influenced, year_early LIMIT 20""",
     "influence_author_edges": f"WITH {_EDGES} SELECT * FROM author_edges",
+    "influence_of_author": f"""WITH {_EDGES} SELECT * FROM author_edges
+        WHERE influencer = 'Writer 10' OR influenced = 'Writer 10'""",
     "influence_totals": f"""WITH {_EDGES} SELECT (SELECT count(*) FROM edges) AS book_edges,
         (SELECT count(*) FROM author_edges) AS author_edges""",
     "strongest_edges": f"""WITH {_EDGES} SELECT * FROM author_edges

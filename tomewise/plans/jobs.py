@@ -18,11 +18,21 @@ def count_words(spark: SparkSession, source: str, target: str) -> None:
 
 def profile_books(spark: SparkSession, glob: str, folder: str) -> None:
     """Metadata of all books and the reports on it."""
-    meta = store(profile.metadata(read_books(spark, glob)), "metadata")
+    books = require_unique(read_books(spark, glob), "file_name")
+    meta = store(profile.metadata(books), "metadata")
     write_csv(profile.books_per_year(meta), f"{folder}/books_per_year.csv", single_file=True)
     write_csv(profile.language_distribution(meta), f"{folder}/language_distribution.csv")
     write_csv(profile.title_lengths(meta), f"{folder}/title_lengths.csv")
     write_csv(meta, f"{folder}/complete_book_metadata.csv")
+    reports = {
+        "most_common_language": profile.most_common_language(meta),
+        "avg_title_length": profile.average_title_length(meta),
+        "longest_titles": profile.longest_titles(meta),
+        "shortest_titles": profile.shortest_titles(meta),
+        "quality_report": profile.quality_report(meta),
+    }
+    for name, report in reports.items():
+        write_csv(report, f"{folder}/{name}.csv", single_file=True)
 
 
 def compare_books(
@@ -62,13 +72,25 @@ def compare_books(
 
 def map_influence(spark: SparkSession, glob: str, folder: str) -> None:
     """The network of authors, its degrees and the authors with most of them."""
-    found = network.authors_and_years(read_books(spark, glob))
+    found = store(
+        network.authors_and_years(require_unique(read_books(spark, glob), "file_name")), "authors"
+    )
     books = store(network.complete_books(found), "complete-books")
     profiles = store(network.author_profiles(books), "profiles")
     write_csv(network.author_edges(profiles), f"{folder}/author_influence_network.csv")
     metrics = store(network.author_metrics(profiles), "metrics")
     write_csv(metrics, f"{folder}/author_metrics.csv")
     write_csv(network.top_authors(metrics), f"{folder}/top_authors.csv", single_file=True)
+    reports = {
+        "completeness": network.completeness(found),
+        "author_count": network.author_count(books),
+        "top_authors_by_books": network.top_authors_by_books(books),
+        "closest_edges": network.closest_edges(books),
+        "influence_totals": network.influence_totals(profiles),
+        "strongest_edges": network.strongest_edges(profiles),
+    }
+    for name, report in reports.items():
+        write_csv(report, f"{folder}/{name}.csv", single_file=True)
 
 
 def _as_float(pairs: DataFrame) -> DataFrame:

@@ -15,6 +15,8 @@ from tomewise.sources import book_view, documents, file_name
 KEY = "doc_id"
 TARGET = 10
 PLACES = 9
+MIN_SIMILARITY = 0.5
+WRITER = "Writer 10"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -133,6 +135,12 @@ def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _rounded(pairs, "similarity", places=similarity.PLACES)
 
 
+def similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    units = store(similarity.unit_vectors(_weights(spark, sf_dir), KEY), "units")
+    pairs = similarity.similar_pairs(units, MIN_SIMILARITY, KEY)
+    return _rounded(pairs, "similarity", places=similarity.PLACES)
+
+
 def average_similarity(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = similarity.average_similarity(_stored_weights(spark, sf_dir), KEY)
     return _rounded(found, "avg_similarity")
@@ -187,6 +195,7 @@ QUERIES: dict[str, Query] = {
     "doc_vectors": doc_vectors,
     "doc_norms": doc_norms,
     "cosine_pairs": cosine_pairs,
+    "similar_pairs": similar_pairs,
     "avg_similarity": average_similarity,
     "top_similar_to_doc": top_similar_to_doc,
     "top_similar_pairs": top_similar_pairs,
@@ -199,6 +208,7 @@ QUERIES: dict[str, Query] = {
     "influence_book_edges": lambda s, d: network.book_edges(_stored_books(s, d), KEY),
     "closest_edges": lambda s, d: network.closest_edges(_complete(s, d)),
     "influence_author_edges": lambda s, d: network.author_edges(_profiles(s, d)),
+    "influence_of_author": lambda s, d: network.edges_of_author(_complete(s, d), WRITER),
     "influence_totals": lambda s, d: network.influence_totals(_profiles(s, d)),
     "strongest_edges": lambda s, d: network.strongest_edges(_profiles(s, d)),
     "out_degree": lambda s, d: network.out_degree(_profiles(s, d)),

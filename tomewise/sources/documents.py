@@ -25,13 +25,7 @@ BOOK_TEXT_SQL = """concat(
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``(doc_id, lang, text)`` of every document."""
-    table = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
-    # A table of very few splits would keep most cores idle; a large one has more
-    # splits than cores and is read where it lies, without a shuffle.
-    cores = spark.sparkContext.defaultParallelism
-    if table.rdd.getNumPartitions() < cores:
-        table = table.repartition(cores, "doc_id")
-    return table
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang", "text")
 
 
 def book_view(spark: SparkSession, sf_dir: str) -> DataFrame:
