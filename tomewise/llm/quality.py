@@ -154,8 +154,8 @@ def judge(
     doc_id: str = "doc_id",
     text: str = "text",
     lang: str = "lang",
-    max_class_distance: float = 0.35,
-    max_word_distance: float = 0.6,
+    max_class_distance: float = 0.33,
+    max_word_distance: float = 0.32,
     min_chars: int = 200,
     min_words: int = 100,
     min_reference_words: int = 1000,
