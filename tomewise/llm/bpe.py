@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tomewise.llm.common import append_columns, map_rows
+from tomewise.llm.common import append_columns, map_rows, most_frequent
 
 # White space as the tokenizer's patterns see it.
 SPACE = "\t-\r \x85\xa0  -     　"
@@ -286,7 +286,7 @@ def decode(vocabulary: Vocabulary, ids: list[int]) -> str:
 
 
 def frequent_words(df: DataFrame, text: str = "text", max_words: int = 60_000, flush: int = 300_000) -> list[str]:
-    """The most frequent words with the blank before them, counted over all texts.
+    """The most frequent words, at most ``max_words``, with the blank before them, counted over all texts.
 
     Each task counts on its own and passes its counts on whenever it holds ``flush`` words.
     """
@@ -311,8 +311,7 @@ def frequent_words(df: DataFrame, text: str = "text", max_words: int = 60_000, f
         yield rows()
 
     counted = df.select(F.col(text).alias("text")).mapInArrow(count, schema).groupBy("word").agg(F.sum("n").alias("n"))
-    top = counted.filter("n > 1").orderBy(F.desc("n"), "word").limit(max_words).collect()
-    return [" " + r["word"] for r in top]
+    return [" " + r["word"] for r in most_frequent(counted.filter("n > 1"), max_words).select("word").collect()]
 
 
 def compile_lexicon(vocabulary: Vocabulary, words: list[str]) -> Lexicon:

@@ -12,7 +12,7 @@ from pyspark.sql.types import StructField, StructType
 
 from tomewise.plans.storage import BROADCAST_BYTES, scratch_dir, store
 
-__all__ = ["append_columns", "held_out", "map_rows", "sample_by_hash", "scratch_dir", "small", "store", "table"]
+__all__ = ["append_columns", "held_out", "map_rows", "most_frequent", "sample_by_hash", "scratch_dir", "small", "store", "table"]
 
 # Bytes that a broadcast row of a few numbers takes in a hash table.
 ROW_BYTES = 64
@@ -32,8 +32,33 @@ def held_out(id_column: str, modulus: int, remainder: int) -> Column:
 
 
 def sample_by_hash(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """``rows`` rows (fewer if there are fewer) in the order of a hash of ``key``: the same in every run."""
-    return df.orderBy(F.xxhash64(F.col(key)), F.col(key)).limit(rows)
+    """``rows`` rows (fewer if there are fewer) in the order of a hash of ``key``: the same in every run.
+
+    A large table is first cut to about one and a half times as many rows by another part of the hash, so that what
+    is sorted, and what tasks send to the driver, does not grow with the table.
+    """
+    total = df.count()
+    order = F.xxhash64(F.col(key))
+    if total > 2 * rows:
+        df = df.filter(F.pmod(F.xxhash64(F.col(key), F.lit("sample")), F.lit(1_000_000)) < 1.5e6 * rows / total)
+    return df.orderBy(order, F.col(key)).limit(rows)
+
+
+def most_frequent(counts: DataFrame, rows: int) -> DataFrame:
+    """Of a table with counts ``n``, the rows with the largest: at most ``rows``, and like counts together.
+
+    A histogram of the counts, by sixteenths of powers of two, says from which count on the rows are few enough.
+    """
+    step = F.floor(F.log2("n") * 16).cast("int")
+    counts = store(counts.withColumn("step", step), "counts")
+    sizes = {r["step"]: r["rows"] for r in counts.groupBy("step").agg(F.count("*").alias("rows")).collect()}
+    total, least = 0, max(sizes, default=0) + 1
+    for at in sorted(sizes, reverse=True):
+        total += sizes[at]
+        if total > rows:
+            break
+        least = at
+    return counts.filter(F.col("step") >= least).drop("step")
 
 
 def small(df: DataFrame) -> DataFrame:
