@@ -73,7 +73,7 @@ def words(text: Column) -> Column:
     parts = F.split(F.lower(text), "[^a-z]+")
     return F.filter(
         F.coalesce(parts, F.array().cast("array<string>")),
-        lambda word: (F.length(word) >= MIN_WORD_LENGTH) & ~word.isin(STOP_WORDS),
+        lambda word: (F.length(word) >= MIN_WORD_LENGTH) & ~word.isin(*STOP_WORDS),
     )
 
 
