@@ -21,6 +21,7 @@ import zlib
 from bisect import bisect_left, insort
 
 import numpy as np
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -29,15 +30,17 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from tomewise.llm.common import append_columns, map_rows, store
 
 CAPACITY = 2048
-KEPT_WORDS = 400_000
+KEPT_WORDS = 900_000
 # Python takes these for white space, the tokenizer does not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
+# Fixed value: the tokenizer's own pattern, by which a normalized word falls into parts.
+PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
 def word_encoder(path: str):
     """A function of a list of texts: their ids as little-endian 32-bit numbers.
 
-    For tokenizers that drop white space and treat words apart: words met before are looked up.
+    For tokenizers that drop white space and treat words apart: words and parts of words met before are looked up.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -45,23 +48,41 @@ def word_encoder(path: str):
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    special = [x.content for x in tokenizer.get_added_tokens_decoder().values()]
+    normalize = tokenizer.normalizer.normalize_str
     kept: dict[str, bytes] = {}
+    parts: dict[str, bytes] = {}
 
-    def ids(texts: list[str]) -> list[bytes]:
-        found = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in found]
+    def whole(text: str) -> bytes:
+        return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+
+    def learn(words: list[str]) -> None:
+        """Encode the words' parts that are new, together: each id knows its part."""
+        split = [PARTS.findall(w.lower() if w.isascii() else normalize(w)) for w in words]
+        new = list({p for found in split for p in found if p not in parts})
+        for at in range(0, len(new), 4096):
+            some = new[at : at + 4096]
+            found = tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+            data, start = np.array(found.ids, "<u4").tobytes(), 0
+            ends = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(some)), "right") * 4
+            for part, end in zip(some, ends.tolist(), strict=True):
+                parts[part] = data[start:end]
+                start = end
+        for word, found in zip(words, split, strict=True):
+            kept[word] = parts[found[0]] if len(found) == 1 else b"".join(map(parts.__getitem__, found))
 
     def work(texts: list) -> list[bytes]:
-        if len(kept) > KEPT_WORDS:
-            kept.clear()
+        for cache in (kept, parts):
+            if len(cache) > KEPT_WORDS:
+                cache.clear()
         texts = [t or "" for t in texts]
-        words = [[] if SEPARATORS.search(t) else t.split() for t in texts]
+        odd = [bool(SEPARATORS.search(t)) or any(x in t for x in special) for t in texts]
+        words = [[] if alone else t.split() for t, alone in zip(texts, odd, strict=True)]
         new = list(set().union(*words) - kept.keys())
-        for at in range(0, len(new), 4096):
-            kept.update(zip(new[at : at + 4096], ids(new[at : at + 4096])))
+        learn(new)
         return [
-            b"".join(map(kept.__getitem__, found)) if found or not SEPARATORS.search(t) else ids([t])[0]
-            for t, found in zip(texts, words, strict=True)
+            whole(t) if alone else b"".join(map(kept.__getitem__, found))
+            for t, found, alone in zip(texts, words, odd, strict=True)
         ]
 
     return work
