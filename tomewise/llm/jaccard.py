@@ -4,14 +4,14 @@ A text's tokens are its distinct shingles of ``words`` words. Tokens have one gl
 ones last, each by hash. If two sets are similar, at most ``e`` tokens of either are missing in the other
 (e = n - ceil(t n)). A prefix that covers e + 1 mismatches therefore shares a signature with the other's prefix: a rare
 token covers one mismatch and is indexed by itself; of frequent tokens every combination of k is indexed, and c of
-them cover c - k + 1. Prefixes are extended until that sum reaches e + 1. In sets of up to ``small`` tokens k is 2; in larger
+them cover c - k + 1. Prefixes are extended until that sum reaches e + 1. In sets of up to ``small_set`` tokens k is 2; in larger
 ones, where combinations would outnumber the tokens, it is 1. Small sets whose partner may be larger are indexed both ways.
 
 Which tokens are frequent only steers the work: any choice finds the same links. The most frequent ones
 are counted over the heads of all sets and broadcast, up to ``max_frequent``.
 
-Pairs are not spelled out within groups. Of the sets that share a signature, each is first verified against one hub, and
-the links make components. Then only members of different components that still share a signature are paired and
+Pairs are not spelled out within groups. Equal sets are one. Of the sets that share a signature, each is first verified
+against one hub, and the links make components. Then only members of different components that still share a signature are paired and
 verified, so no link is lost that would join two components.
 """
 
@@ -27,9 +27,8 @@ from pyspark.sql.types import (
     ArrayType, BinaryType, IntegerType, LongType, StringType, StructField, StructType
 )
 
-from tomewise.llm.common import append_columns, map_rows, store
+from tomewise.llm.common import append_columns, map_rows, small, store
 from tomewise.llm.components import components
-from tomewise.plans.storage import BROADCAST_BYTES
 
 # Odd multipliers, one for each place in a shingle.
 STEP = 0x9E3779B97F4A7C15
@@ -97,9 +96,10 @@ def near_duplicates(
     text: str = "text",
     words: int = 4,
     percent: int = 85,
-    small: int = 64,
+    small_set: int = 64,
     frequent: int = 32,
     max_frequent: int = 200_000,
+    probe: int = 8,
 ) -> DataFrame:
     """One row per row of ``df``: id, n_shingles, component_id (the least id that links reach).
 
@@ -110,88 +110,115 @@ def near_duplicates(
     docs = df.select(F.col(doc_id).alias("doc_id"), F.col(text).cast(StringType()).alias("text"))
 
     def heads():
-        def work(texts: list) -> tuple[list, list, list]:
-            sets = [shingles(t, words) for t in texts]
-            return (
-                [len(s) for s in sets],
-                [fingerprint(s) for s in sets],
-                [s[: spare(len(s), percent) + 1] for s in sets],
-            )
+        def work(texts: list) -> tuple[list]:
+            sets = (shingles(t, words) for t in texts)
+            return (np.concatenate([s[: spare(len(s), percent) + 1] for s in sets]),)
 
         return work
 
-    fields = [
-        StructField("n", IntegerType(), False),
-        StructField("set", BinaryType()),
-        StructField("head", ArrayType(LongType()), False),
-    ]
-    rows = store(append_columns(docs, ["text"], fields, heads).drop("text"), "shingle-heads")
-
-    counted = rows.select(F.explode("head").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    token = StructType([StructField("token", LongType(), False)])
+    counted = map_rows(docs.select("text"), ["text"], token, heads).groupBy("token").agg(F.count("*").alias("n"))
     top = counted.filter(F.col("n") > frequent).orderBy(F.desc("n"), "token").limit(max_frequent)
     often = np.sort(top.select("token").toArrow().column(0).to_numpy().astype(np.int64))
     shared = spark.sparkContext.broadcast(often)
 
     def index():
-        def work(texts: list) -> tuple[list, list, list]:
-            sets = [s for t in texts if len(s := shingles(t, words))]
+        def work(texts: list) -> tuple[list, ...]:
+            sets = [shingles(t, words) for t in texts]
             return (
-                [fingerprint(s) for s in sets],
                 [len(s) for s in sets],
-                [signatures(s, shared.value, percent, small) for s in sets],
+                [fingerprint(s) for s in sets],
+                [signatures(s, shared.value, percent, small_set) for s in sets],
+                [head(s, percent, probe) for s in sets],
             )
 
         return work
 
-    schema = StructType(
-        [
-            StructField("set", BinaryType(), False),
-            StructField("n", IntegerType(), False),
-            StructField("sigs", ArrayType(LongType()), False),
-        ]
-    )
-    indexed = map_rows(docs.select("text"), ["text"], schema, index)
-    nodes = indexed.groupBy("set").agg(F.first("n").alias("n"), F.first("sigs").alias("sigs"))
-    nodes = store(nodes.withColumn("v", F.monotonically_increasing_id()), "shingle-sets")
+    fields = [
+        StructField("n", IntegerType(), False),
+        StructField("set", BinaryType()),
+        StructField("sigs", ArrayType(LongType()), False),
+        StructField("head", ArrayType(IntegerType()), False),
+    ]
+    indexed = append_columns(docs, ["text"], fields, index).drop("text")
+    rows = store(indexed.withColumn("v", F.monotonically_increasing_id()), "shingle-sets")
 
-    postings = nodes.select("v", "n", F.explode("sigs").alias("sig"))
-    hubs = postings.groupBy("sig").agg(F.min("v").alias("hub"), F.count("*").alias("sets")).filter("sets > 1")
-    # Signatures of one set only can not link anything.
-    met = store(postings.join(hubs.select("sig", "hub"), "sig"), "shared-signatures")
+    # Rows with equal sets are one: the first stands for all.
+    first = rows.filter("n > 0").groupBy("set").agg(F.min("v").alias("first"))
+    same = store(rows.filter("n > 0").select("v", "set").join(first, "set").select("v", "first"), "equal-sets")
+    nodes = rows.join(small(store(same.filter("v != first").select("v"), "copies")), "v", "left_anti")
 
-    wanted = met.select("v").distinct().join(nodes.select("v", "set"), "v")
-    sets = store(_sets(docs, store(wanted, "sets-to-verify"), words), "token-sets")
-    sizes = nodes.select(F.col("v").alias("hub"), F.col("n").alias("hub_n"))
-    stars = met.filter("v != hub").select(F.col("hub"), F.col("v"), "n").distinct().join(sizes, "hub")
-    stars = stars.filter(_sizes("n", "hub_n", percent)).select(F.col("hub").alias("a"), F.col("v").alias("b"))
-    links = store(_verified(stars, sets, percent), "links")
+    # Signatures of one set only can not link anything.
+    postings = nodes.select("v", F.explode("sigs").alias("sig"))
+    hubs = postings.groupBy("sig").agg(F.min("v").alias("hub"), F.count("*").alias("sets")).filter("sets > 1")
+    met = store(postings.join(small(store(hubs.select("sig", "hub"), "hubs")), "sig"), "shared-signatures")
 
+    stars = met.filter("v != hub").select(F.col("hub").alias("a"), F.col("v").alias("b")).distinct()
+    links = _similar(stars, rows, docs, words, percent)
     roots = components(links)
-    cross = _across(met, roots, percent)
-    more = store(_verified(cross, sets, percent), "links")
+    more = _similar(_across(met, roots), rows, docs, words, percent)
     if not more.isEmpty():
         roots = components(links.union(more))
 
     # Components of rows: sets that no link reaches stand for themselves.
-    of_set = nodes.select("set", "v").join(roots, "v", "left").select("set", F.coalesce("root", "v").alias("root"))
-    alone = rows.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id"))
-    grouped = rows.filter("n > 0").select("doc_id", "n", "set").join(of_set, "set")
-    least = grouped.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return (
-        grouped.join(least, "root")
-        .select("doc_id", "n", "component_id")
-        .union(alone)
-        .select(F.col("doc_id").alias(doc_id), F.col("n").cast("long").alias("n_shingles"), "component_id")
+    root = F.coalesce("root", "first")
+    of_row = same.join(roots.withColumnRenamed("v", "first"), "first", "left").select("v", root.alias("root"))
+    grouped = rows.select("v", "doc_id", "n").join(of_row, "v", "left")
+    least = grouped.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return grouped.join(least, "root", "left").select(
+        F.col("doc_id").alias(doc_id),
+        F.col("n").cast("long").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 
+def head(tokens: np.ndarray, percent: int, probe: int) -> np.ndarray:
+    """The first tokens by hash, cut to 32 bits: ``probe`` more than a similar set can lack, and one.
+
+    Of the two sets' heads, the one that ends first is within the other's range, so all but e of its tokens are in the
+    other head. Cutting tokens only adds matches, but for those that it makes equal within a head.
+    """
+    return np.unique(tokens[: spare(len(tokens), percent) + 1 + probe].view(np.uint64) >> np.uint64(32)).astype(
+        np.uint32
+    ).view(np.int32)
+
+
 def _sizes(a: str, b: str, percent: int):
     """Sets of too different sizes can not be similar."""
     return 100 * F.least(a, b).cast("long") >= percent * F.greatest(a, b).cast("long")
 
 
+def _similar(pairs: DataFrame, rows: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs (a, b) whose sets are similar: those whose sizes and heads allow it are verified in full."""
+    pairs = store(pairs, "pairs")
+    lacking = F.col("n") - ((F.col("n").cast("long") * percent + 99) / 100).cast("int")
+    known = rows.select("v", "n", "head", (F.size("head") - lacking).alias("need"))
+    a = known.select(F.col("v").alias("a"), F.col("n").alias("n_a"), F.col("head").alias("x"), F.col("need").alias("need_a"))
+    b = known.select(F.col("v").alias("b"), F.col("n").alias("n_b"), F.col("head").alias("y"), F.col("need").alias("need_b"))
+    likely = (
+        pairs.join(a, "a")
+        .join(b, "b")
+        .filter(_sizes("n_a", "n_b", percent))
+        .filter(F.size(F.array_intersect("x", "y")) >= F.least("need_a", "need_b"))
+    )
+    likely = store(likely.select("a", "b"), "likely-pairs")
+
+    wanted = likely.select(F.explode(F.array("a", "b")).alias("v")).distinct().join(rows.select("v", "set"), "v")
+    sets = _sets(docs, store(wanted, "sets-to-verify"), words)
+    left = sets.select(F.col("v").alias("a"), F.col("tokens").alias("x"))
+    right = sets.select(F.col("v").alias("b"), F.col("tokens").alias("y"))
+    both = F.size(F.array_intersect("x", "y")).cast("long")
+    verified = (
+        likely.join(left, "a")
+        .join(right, "b")
+        .select("a", "b", both.alias("both"), (F.size("x") + F.size("y")).alias("all"))
+        .filter(100 * F.col("both") >= percent * (F.col("all") - F.col("both")))
+    )
+    return store(verified.select("a", "b"), "links")
+
+
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(v, tokens) of the sets in ``wanted`` (v, set)."""
+    """(v, tokens) of the sets in ``wanted`` (v, set), stored."""
 
     def read():
         def work(texts: list) -> tuple[list, list]:
@@ -203,36 +230,19 @@ def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
     schema = StructType(
         [StructField("set", BinaryType(), False), StructField("tokens", ArrayType(LongType()), False)]
     )
-    found = map_rows(docs.select("text"), ["text"], schema, read)
-    if wanted.count() * 64 <= BROADCAST_BYTES:  # 24 bytes of values and what a hash table adds
-        wanted = F.broadcast(wanted)
-    return found.join(wanted, "set").groupBy("v").agg(F.first("tokens").alias("tokens"))
-
-
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are similar."""
-    left = sets.select(F.col("v").alias("a"), F.col("tokens").alias("x"))
-    right = sets.select(F.col("v").alias("b"), F.col("tokens").alias("y"))
-    both = F.size(F.array_intersect("x", "y")).cast("long")
-    all_of = F.size("x") + F.size("y") - F.col("both")
-    return (
-        pairs.join(left, "a")
-        .join(right, "b")
-        .select("a", "b", both.alias("both"), "x", "y")
-        .filter(100 * F.col("both") >= percent * all_of)
-        .select("a", "b")
-    )
+    found = map_rows(docs.select("text"), ["text"], schema, read).join(small(wanted), "set")
+    return store(found.groupBy("v").agg(F.first("tokens").alias("tokens")), "token-sets")
 
 
-def _across(met: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+def _across(met: DataFrame, roots: DataFrame) -> DataFrame:
     """Pairs of sets that share a signature and are in different components."""
-    at = met.select("sig", "v", "n").join(roots, "v", "left").select("sig", "v", "n", F.coalesce("root", "v").alias("root"))
+    at = met.select("sig", "v").join(roots, "v", "left").select("sig", "v", F.coalesce("root", "v").alias("root"))
     mixed = at.groupBy("sig").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low != high")
     at = store(at.join(mixed.select("sig"), "sig", "left_semi"), "mixed-signatures")
     kinds = at.select("sig", "root").distinct()
     a, b = kinds.withColumnRenamed("root", "root_a"), kinds.withColumnRenamed("root", "root_b")
     sides = a.join(b, "sig").filter("root_a < root_b")
-    left = at.select("sig", F.col("root").alias("root_a"), F.col("v").alias("a"), F.col("n").alias("n_a"))
-    right = at.select("sig", F.col("root").alias("root_b"), F.col("v").alias("b"), F.col("n").alias("n_b"))
-    met_again = sides.join(left, ["sig", "root_a"]).join(right, ["sig", "root_b"]).filter(_sizes("n_a", "n_b", percent))
+    left = at.select("sig", F.col("root").alias("root_a"), F.col("v").alias("a"))
+    right = at.select("sig", F.col("root").alias("root_b"), F.col("v").alias("b"))
+    met_again = sides.join(left, ["sig", "root_a"]).join(right, ["sig", "root_b"])
     return met_again.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
