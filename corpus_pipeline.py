@@ -35,7 +35,10 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least id stays; a row without an id stays."""
+    """Of each group of near copies the document with the least id stays, with all rows that repeat it.
+
+    A row without an id stays.
+    """
     groups = near_duplicates(docs, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
     gone = store(groups.filter("doc_id != component_id").select("doc_id").distinct(), "near-copies")
     if gone.count() * 64 <= BROADCAST_BYTES:

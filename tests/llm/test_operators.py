@@ -87,11 +87,13 @@ def near_copies():
     return rows
 
 
-@pytest.mark.parametrize(("frequent", "small"), [(32, 64), (2, 64), (1, 1000), (1, 4)])
+@pytest.mark.parametrize(("frequent", "small", "crowd"), [(32, 64, 48), (2, 64, 2), (1, 1000, 3), (1, 4, 2)])
 @pytest.mark.parametrize(("words", "percent"), [(4, 85), (5, 80)])
-def test_groups_equal_all_pairs(spark, words, percent, frequent, small):
+def test_groups_equal_all_pairs(spark, words, percent, frequent, small, crowd):
     rows = near_copies()
-    got = jaccard.near_duplicates(frame(spark, rows), words=words, percent=percent, frequent=frequent, small_set=small)
+    got = jaccard.near_duplicates(
+        frame(spark, rows), words=words, percent=percent, frequent=frequent, small_set=small, crowd=crowd
+    )
     assert got.columns == ["doc_id", "n_shingles", "component_id"]
     assert Counter(map(tuple, got.collect())) == expected_groups(rows, words, percent)
 
@@ -111,13 +113,31 @@ def test_signatures_of_similar_sets_meet():
         if 100 * both < 85 * (len(x) + len(y) - both):
             continue
         often = np.sort(draw.permutation(x)[: int(draw.integers(0, len(x) + 1))])
-        a, b = (jaccard.signatures(s, often, 85, 64) for s in (x, y))
-        assert len(np.intersect1d(a, b))
+        # Some of the tokens that the other set lacks are known to be in no other.
+        found = []
+        for mine, other in ((x, y), (y, x)):
+            alone = np.setdiff1d(mine[jaccard.counted(mine)], other)
+            need = jaccard.spare(len(mine), 85) + 1 - len(alone)
+            assert need > 0
+            found.append(jaccard.signatures(mine, need, often, 85, 64))
+        assert len(np.intersect1d(*found))
         p, q = jaccard.head(x, 85, 8), jaccard.head(y, 85, 8)
         need = min(len(p) - jaccard.spare(len(x), 85), len(q) - jaccard.spare(len(y), 85))
         assert len(np.intersect1d(p, q)) >= need
 
 
+def test_common_tokens_of_blocks():
+    draw = np.random.default_rng(5)
+    for size in (1, 7, 40):
+        blocks = []
+        for _ in range(2):
+            sets = [np.unique(draw.integers(0, draw.choice([20, 2000]), draw.integers(0, 60))) for _ in range(size)]
+            blocks.append(sets)
+        flat = [(np.array([len(s) for s in sets]), np.concatenate(sets)) for sets in blocks]
+        want = [[len(np.intersect1d(a, b)) for b in blocks[1]] for a in blocks[0]]
+        assert jaccard._common(*flat[0], *flat[1]).tolist() == want
+
+
 def test_components_of_paths_and_stars(spark):
     draw = random.Random(1)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 40)] + [(7, 7), (300, 301), (301, 300)]
