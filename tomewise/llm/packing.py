@@ -15,6 +15,7 @@ Null text is empty: one piece with only the closing id. Repeated rows are packed
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import zlib
@@ -33,6 +34,10 @@ CAPACITY = 2048
 KEPT_WORDS = 900_000
 # Python takes these for white space, the tokenizer does not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
+# The one letter whose lower case is two characters, which may no longer be normalized.
+DOTTED = chr(0x130)
+# The mark of ids that end a word.
+WORD_END = "</w>"
 # Fixed value: the tokenizer's own pattern, by which a normalized word falls into parts.
 PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
@@ -40,7 +45,7 @@ PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]
 def word_encoder(path: str):
     """A function of a list of texts: their ids as little-endian 32-bit numbers.
 
-    For tokenizers that drop white space and treat words apart: words and parts of words met before are looked up.
+    For tokenizers that drop white space, treat words apart and mark their ends: words and parts of words met before are looked up.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -50,6 +55,11 @@ def word_encoder(path: str):
     tokenizer.no_padding()
     special = [x.content for x in tokenizer.get_added_tokens_decoder().values()]
     normalize = tokenizer.normalizer.normalize_str
+    vocabulary = tokenizer.get_vocab()
+    last = np.zeros(max(vocabulary.values()) + 1, bool)
+    last[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+    # The caches hold no cycles, and looking for some in them costs more than the encoding.
+    gc.set_threshold(200_000, 20, 100)
     kept: dict[str, bytes] = {}
     parts: dict[str, bytes] = {}
 
@@ -57,19 +67,33 @@ def word_encoder(path: str):
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
     def learn(words: list[str]) -> None:
-        """Encode the words' parts that are new, together: each id knows its part."""
-        split = [PARTS.findall(w.lower() if w.isascii() else normalize(w)) for w in words]
-        new = list({p for found in split for p in found if p not in parts})
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            found = tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-            data, start = np.array(found.ids, "<u4").tobytes(), 0
-            ends = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(some)), "right") * 4
-            for part, end in zip(some, ends.tolist(), strict=True):
+        """Encode the words' parts that are new, together: the last id of each part says so."""
+        split, new = [], set()
+        for word in words:
+            if DOTTED in word:
+                kept[word] = whole(word)
+                continue
+            found = PARTS.findall(word.lower() if word.isascii() else normalize(word))
+            if len(found) == 1 and (data := parts.get(found[0])) is not None:
+                kept[word] = data
+            else:
+                split.append((word, found))
+                new.update(found)
+        fresh = [p for p in new if p not in parts]
+        for at in range(0, len(fresh), 4096):
+            some = fresh[at : at + 4096]
+            ids = np.array(tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(last[ids]) + 1
+            if len(ends) != len(some):  # it parts one of them once more
+                found = tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+                ids = np.array(found.ids, "<u4")
+                ends = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(some)), "right")
+            data, start = ids.tobytes(), 0
+            for part, end in zip(some, (ends * 4).tolist(), strict=True):
                 parts[part] = data[start:end]
                 start = end
-        for word, found in zip(words, split, strict=True):
-            kept[word] = parts[found[0]] if len(found) == 1 else b"".join(map(parts.__getitem__, found))
+        for word, found in split:
+            kept[word] = b"".join([parts[p] for p in found])
 
     def work(texts: list) -> list[bytes]:
         for cache in (kept, parts):
