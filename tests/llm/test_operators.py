@@ -512,6 +512,18 @@ def test_wrappers_generalize():
     assert [(x["l"], x["r"], x["o"], x["t"]) for x in merged["k"]] == [("h1", 0, 0, None), ("p", 1, 0, None), ("ul", 0, 1, "")]
 
 
+def test_recall_with_many_lists(spark):
+    draw = np.random.default_rng(20)
+    vectors = draw.normal(size=(8000, 32)).astype("float32")
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id long, embedding array<float>").repartition(4)
+    found = defaultdict(set)
+    for r in ann.nearest(df, F.col("vec_id") % 100 == 0, list_size=16).collect():
+        found[r.query_id].add(r.vec_id)
+    unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+    hits = sum(len(got & set(np.argsort(-(unit @ unit[q]))[1:6].tolist())) for q, got in found.items())
+    assert len(found) == 80 and hits >= 0.98 * 5 * len(found)
+
+
 def test_neighbours_and_recall(spark):
     draw = np.random.default_rng(18)
     vectors = draw.normal(size=(3000, 16)).astype("float32")

@@ -3,9 +3,11 @@
 Equal vectors are one, with their least ids. Centroids are fitted to a bounded sample, and over-full clusters give
 their surplus to a second centroid, so that lists have like sizes. Every vector goes to its nearest list, and a
 vector near a boundary also to others whose distance is within a ratio of the nearest, unless one of them stands
-for the same direction. A query finds near centroids by best-first search in an in-memory graph of centroids, and
-reads the lists whose distance ratio to the nearest one is within a bound. Lists are joined with the queries that read
-them in blocks of bounded size, so neither a hot list nor a hot region meets in one task. Scores are exact.
+for the same direction. A query reads the lists of its nearest centroids, all of which it is compared with. How many
+it reads is found out on the table itself: a bounded sample of the queries is compared with all vectors, and as many
+lists are read as find the asked share of those neighbours; an index of few lists is read whole. Lists are joined with
+the queries that read them in blocks of bounded size, so neither a hot list nor a hot region meets in one task. Scores
+are exact.
 
 Vectors that are null, zero or hold null or non-finite components take no part; neither do rows without an id, and
 vectors of another length than most. Repeated rows count once. Ties go to the smaller id. An empty table gives no rows.
@@ -13,7 +15,7 @@ vectors of another length than most. Repeated rows count once. Ties go to the sm
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,43 +26,7 @@ from pyspark.sql.types import ArrayType, DoubleType, LongType, StructField, Stru
 from tomewise.llm.common import append_columns, sample_by_hash, small, store
 
 
-@dataclass
-class Centroids:
-    """Unit centroids and, for each, its neighbours in the graph."""
-
-    points: np.ndarray
-    links: np.ndarray
-
-    def nearest(self, queries: np.ndarray, beam: int) -> tuple[np.ndarray, np.ndarray]:
-        """Best-first search of all queries together: centroid numbers and distances, nearest first.
-
-        In each step every query visits the neighbours of its best centroid that it has not left yet, until its
-        ``beam`` best are all left.
-        """
-        n, total = len(queries), len(self.points)
-        beam = min(beam, total)
-        distance = np.full((n, total), np.inf)
-        left = np.zeros((n, total), bool)
-        rows = np.arange(n)
-        entry = np.linspace(0, total - 1, min(16, total)).astype(int)
-        distance[:, entry] = 2 - 2 * queries @ self.points[entry].T
-        active = rows
-        while len(active):
-            near = distance[active]
-            bound = np.partition(near, beam - 1, 1)[:, beam - 1]
-            open_ones = np.where(left[active], np.inf, near)
-            best = open_ones.argmin(1)
-            value = open_ones[np.arange(len(active)), best]
-            go = np.isfinite(value) & (value <= bound)
-            active, best = active[go], best[go]
-            left[active, best] = True
-            to = self.links[best]
-            distance[active[:, None], to] = 2 - 2 * np.einsum("nd,nkd->nk", queries[active], self.points[to])
-        order = np.argsort(distance, 1, kind="stable")[:, :beam]
-        return order, np.sqrt(np.maximum(distance[rows[:, None], order], 0))
-
-
-def fit_centroids(sample: np.ndarray, lists: int, links: int = 16, rounds: int = 12, fullest: float = 2.0) -> Centroids:
+def fit_centroids(sample: np.ndarray, lists: int, rounds: int = 12, fullest: float = 2.0) -> np.ndarray:
     """Spherical k-means of unit vectors; in each round, over-full clusters get the centroids of the emptiest ones."""
     rng = np.random.default_rng(0)
     points = sample[np.sort(rng.permutation(len(sample))[:lists])].copy()
@@ -78,18 +44,12 @@ def fit_centroids(sample: np.ndarray, lists: int, links: int = 16, rounds: int =
                 if sizes[empty] * 2 < sizes[k]:
                     members = np.flatnonzero(near == k)
                     points[empty] = sample[members[rng.integers(len(members))]]
-    gap = points @ points.T
-    np.fill_diagonal(gap, -np.inf)
-    count = min(links, len(points) - 1)
-    graph = np.argsort(-gap, 1, kind="stable")[:, :count]
-    # A ring keeps the graph in one piece.
-    ring = np.roll(np.arange(len(points)), -1)[:, None]
-    return Centroids(points, np.concatenate([graph, ring], 1))
+    return points
 
 
-def assign(centroids: Centroids, vectors: np.ndarray, replicas: int, ratio: float) -> list[list[int]]:
+def assign(centroids: np.ndarray, vectors: np.ndarray, replicas: int, ratio: float) -> list[list[int]]:
     """The lists of each unit vector, nearest first: those within the ratio and not behind a list it is already in."""
-    distance = np.sqrt(np.maximum(2 - 2 * vectors @ centroids.points.T, 0))
+    distance = np.sqrt(np.maximum(2 - 2 * vectors @ centroids.T, 0))
     order = np.argsort(distance, 1, kind="stable")[:, : 4 * replicas]
     lists = []
     for row, near in enumerate(order.tolist()):
@@ -98,13 +58,25 @@ def assign(centroids: Centroids, vectors: np.ndarray, replicas: int, ratio: floa
         for c in near[1:]:
             if len(kept) == replicas or distance[row, c] > ratio * first:
                 break
-            apart = np.sqrt(np.maximum(2 - 2 * centroids.points[kept] @ centroids.points[c], 0))
+            apart = np.sqrt(np.maximum(2 - 2 * centroids[kept] @ centroids[c], 0))
             if (apart >= 0.6 * distance[row, c]).all():
                 kept.append(c)
         lists.append(kept)
     return lists
 
 
+def ranked(centroids: np.ndarray, queries: np.ndarray, lists: int) -> np.ndarray:
+    """The numbers of the ``lists`` nearest centroids of each unit query, nearest first."""
+    return np.argsort(-(queries @ centroids.T), 1, kind="stable")[:, :lists]
+
+
+def lists_to_read(needed: np.ndarray, recall: float, least: int) -> int:
+    """How many lists find a share ``recall`` of neighbours that ``needed`` so many, but ``least`` at least."""
+    if not len(needed):
+        return least
+    return max(least, int(np.sort(needed)[max(0, int(np.ceil(recall * len(needed))) - 1)]))
+
+
 def _usable(vector: Column) -> Column:
     """Whether a vector has only finite components, and one that is not zero."""
     finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
@@ -117,18 +89,22 @@ def nearest(
     vec_id: str = "vec_id",
     vector: str = "embedding",
     k: int = 5,
-    list_size: int = 128,
-    max_lists: int = 4096,
+    list_size: int = 1024,
     max_sample: int = 32_768,
+    sample_list: int = 8,
     replicas: int = 4,
     replica_ratio: float = 1.15,
-    beam: int = 64,
-    probe_ratio: float = 1.3,
+    least_lists: int = 64,
+    recall: float = 0.995,
+    max_trial: int = 512,
     block: int = 2048,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest rows found for every row where ``queries`` holds.
 
-    The centroids are fitted to at most ``max_sample`` distinct vectors, picked by a hash; all vectors are indexed.
+    The centroids are fitted to at most ``max_sample`` distinct vectors, picked by a hash; all vectors are indexed. Each
+    has ``sample_list`` vectors of the sample or more, so that in a large table lists are longer, and none is left out.
+    At most ``max_trial`` queries, picked by a hash, are compared with all vectors, to read as many lists as find a
+    share ``recall`` of their neighbours; up to ``least_lists`` lists are all read.
     """
     spark = df.sparkSession
     rows = df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), queries.alias("q"))
@@ -150,24 +126,24 @@ def nearest(
     asked = store(asked.join(kinds.select("v", "key"), "v").select(F.col("id").alias("query_id"), "key"), "queries")
 
     total = kinds.count()
-    lists = max(1, min(max_lists, total // list_size))
     sample = sample_by_hash(kinds.select("key"), "key", max_sample)
     sample = kinds.join(F.broadcast(sample), "key").orderBy("key").select("v").toArrow()
     points = _unit(_matrix(sample.column(0).combine_chunks(), dims))
-    shared = spark.sparkContext.broadcast(fit_centroids(points, lists))
+    lists = max(1, min(len(points) // sample_list, total // list_size))
+    centroids = fit_centroids(points, lists)
+    # Where every list is read, one place for each vector is enough.
+    copies = replicas if lists > least_lists else 1
+    shared = spark.sparkContext.broadcast(centroids)
 
     def index():
         def work(vectors: list) -> tuple[list]:
-            return (assign(shared.value, _unit(np.array(vectors, float)), replicas, replica_ratio),)
+            return (assign(shared.value, _unit(np.array(vectors, float)), copies, replica_ratio),)
 
         return work
 
     def probe():
         def work(vectors: list) -> tuple[list]:
-            near, distance = shared.value.nearest(_unit(np.array(vectors, float)), beam)
-            keep = distance <= probe_ratio * distance[:, :1]
-            keep[:, :8] = True
-            return ([row[use].tolist() for row, use in zip(near, keep, strict=True)],)
+            return (ranked(shared.value, _unit(np.array(vectors, float)), read).tolist(),)
 
         return work
 
@@ -175,6 +151,15 @@ def nearest(
     held = append_columns(kinds.select("key", "v"), ["v"], kind, index)
     held = store(held.select("key", "v", F.explode("lists").alias("list")), "postings")
     keys = asked.select("key").distinct().join(kinds.select("key", "v"), "key")
+    read = lists
+    if lists > least_lists:
+        trial = sample_by_hash(keys, "key", max_trial).toArrow()
+        names, asking = trial.column("key").to_numpy(), _matrix(trial.column("v").combine_chunks(), dims)
+        true = _true_neighbours(kinds.select("key", "v"), names, asking, k)
+        where = true.join(held.select("key", "list"), "key").groupBy("query", "key").agg(F.collect_list("list").alias("lists"))
+        rank = dict(zip(names.tolist(), np.argsort(ranked(centroids, _unit(asking), lists), 1), strict=True))
+        needed = np.array([rank[r["query"]][r["lists"]].min() + 1 for r in where.collect()])
+        read = min(lists, lists_to_read(needed, recall, least_lists))
     reads = append_columns(keys, ["v"], kind, probe)
     reads = store(reads.select(F.col("key").alias("query"), "v", F.explode("lists").alias("list")), "probes")
 
@@ -201,7 +186,7 @@ def nearest(
             b = _matrix(mine.column("v").combine_chunks(), dims)[order]
             names = names[order]
             scores = (a @ b.T) / (np.linalg.norm(a, axis=1)[:, None] * np.linalg.norm(b, axis=1))
-            best = np.argsort(-scores, 1, kind="stable")[:, : k + 1]
+            best = _best(scores, k + 1)
             out[0] = np.repeat(asking, best.shape[1])
             out[1] = names[best].ravel()
             out[2] = np.take_along_axis(scores, best, 1).ravel()
@@ -210,6 +195,9 @@ def nearest(
     where = ["list", "part", "q_part"]
     pairs = StructType([StructField("query", LongType()), StructField("key", LongType()), StructField("score", DoubleType())])
     found = left.groupBy(where).cogroup(right.groupBy(where)).applyInArrow(score, pairs)
+    # A vector is in so many lists at most: among this many rows are k + 1 vectors, and tasks cut to them first.
+    early = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "key"))
+    found = found.withColumn("place", early).filter(F.col("place") <= (k + 1) * copies)
     found = found.groupBy("query", "key").agg(F.max("score").alias("score"))
     best = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "key"))
     found = found.withColumn("place", best).filter(F.col("place") <= k + 1).select("query", "key", "score")
@@ -221,6 +209,46 @@ def nearest(
     return each.withColumn("rank", last).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
+def _true_neighbours(kinds: DataFrame, names: np.ndarray, asking: np.ndarray, k: int) -> DataFrame:
+    """query, key: the ``k`` nearest others of a few vectors, compared with all; tasks hold the best of each so far."""
+    shared = kinds.sparkSession.sparkContext.broadcast((names, _unit(asking)))
+    pairs = StructType([StructField("query", LongType()), StructField("key", LongType()), StructField("score", DoubleType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names, asking = shared.value
+        keys, best = np.empty((len(names), 0), np.int64), np.empty((len(names), 0))
+        for batch in batches:
+            mine = batch.column(0).to_numpy()
+            scores = asking @ _unit(_matrix(batch.column(1), asking.shape[1])).T
+            scores[names[:, None] == mine] = -np.inf
+            best = np.concatenate([best, scores], 1)
+            keys = np.concatenate([keys, np.broadcast_to(mine, scores.shape)], 1)
+            top = _best(best, k)
+            keys, best = np.take_along_axis(keys, top, 1), np.take_along_axis(best, top, 1)
+        use = np.isfinite(best)
+        query = np.broadcast_to(names[:, None], keys.shape)[use]
+        yield pa.RecordBatch.from_arrays([pa.array(query), pa.array(keys[use]), pa.array(best[use])], names=["query", "key", "score"])
+
+    if not len(names):
+        return kinds.sparkSession.createDataFrame([], "query long, key long")
+    place = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "key"))
+    found = kinds.mapInArrow(run, pairs).withColumn("place", place)
+    return found.filter(F.col("place") <= k).select("query", "key")
+
+
+def _best(scores: np.ndarray, count: int) -> np.ndarray:
+    """Columns of the ``count`` highest scores of each row, highest first; ties go to the first column."""
+    if scores.shape[1] > 4 * count:
+        least = np.partition(scores, -count, 1)[:, -count][:, None]
+        # Ties with the last one are few, or else all columns are sorted.
+        width = int((scores >= least).sum(1).max())
+        if width <= 4 * count:
+            some = np.sort(np.argpartition(-scores, width - 1, 1)[:, :width], 1)
+            order = np.argsort(-np.take_along_axis(scores, some, 1), 1, kind="stable")[:, :count]
+            return np.take_along_axis(some, order, 1)
+    return np.argsort(-scores, 1, kind="stable")[:, :count]
+
+
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(float).reshape(-1, dims)
 
