@@ -512,6 +512,27 @@ def test_wrappers_generalize():
     assert [(x["l"], x["r"], x["o"], x["t"]) for x in merged["k"]] == [("h1", 0, 0, None), ("p", 1, 0, None), ("ul", 0, 1, "")]
 
 
+def test_layouts_of_a_host(spark):
+    draw = random.Random(19)
+    menu = '<div class="nav"><a href=/>home</a></div>'
+    rows, want = [], {}
+
+    def add(host, body, text):
+        rows.append((len(rows), f"http://{host}.example/{len(rows)}", f"<body>{menu}{body}<footer>end</footer></body>"))
+        want[len(rows) - 1] = text
+
+    def article(texts):
+        return "<article>" + "".join(f"<{t}>{x}</{t}>" for t, x in texts) + "</article>"
+
+    for i in range(20):
+        a, b = sentence(draw, 9), sentence(draw, 7)
+        # Pages with an article and pages with plain text on one host.
+        add("mixed", article([("p", a)]) if i % 2 else f"<div><p>{a}</p><p>{b}</p></div>", a if i % 2 else f"{a} {b}")
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    got = {r.page_id: r.text for r in wrappers.main_text(df, wrappers.learn_wrappers(df)).collect()}
+    assert got == want
+
+
 def test_recall_with_many_lists(spark):
     draw = np.random.default_rng(20)
     vectors = draw.normal(size=(8000, 32)).astype("float32")

@@ -8,7 +8,7 @@ optional, and texts that differ become slots; texts that never differ are part o
 Tasks build a wrapper of each host from the pages they hold, and wrappers are merged by the same alignment, first in
 groups and then by host, so that a host with a third of all pages is spread like any other.
 
-The main text is what fills slots inside the article of the wrapper (without one: inside slots that are not mostly
+The main text is what fills slots inside the article of a page (without one with text: slots that are not mostly
 links), but for menus, notices and the like, which tags, class names and ids give away.
 
 Null html is empty: no text. Pages without a host share a wrapper. Repeated rows are extracted alike; an empty table
@@ -210,22 +210,22 @@ def is_article(label: str) -> bool:
     return tag in ("article", "main") or any(w in ARTICLE_WORDS for w in words)
 
 
-def _has_article(node: dict) -> bool:
-    """Whether an article with text is in the wrapper, outside of menus and the like."""
-    if is_other(node["l"], False):
+def _has_article(page: Element) -> bool:
+    """Whether an article with text is in the page, outside of menus and the like."""
+    if is_other(page.label, False):
         return False
-    if is_article(node["l"]) and _chars(node):
+    if is_article(page.label) and _has_text(page):
         return True
-    return any(_has_article(x) for x in node["k"])
+    return any(_has_article(x) for x in page.parts if isinstance(x, Element))
 
 
-def _chars(node: dict) -> int:
-    return node["c"] + sum(_chars(x) for x in node["k"] if not is_other(x["l"], True))
+def _has_text(page: Element) -> bool:
+    return any(bool(clean(x)) if isinstance(x, str) else not is_other(x.label, True) and _has_text(x) for x in page.parts)
 
 
 def extract(wrapper: dict, page: Element) -> str:
     """Texts of the page that fill content slots of the wrapper, in order, joined by single blanks."""
-    needs_article = _has_article(wrapper)
+    needs_article = _has_article(page)
     found: list[str] = []
 
     def walk(element: Element, node: dict | None, inside: bool) -> None:
