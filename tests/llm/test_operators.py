@@ -512,7 +512,7 @@ def test_wrappers_generalize():
     assert [(x["l"], x["r"], x["o"], x["t"]) for x in merged["k"]] == [("h1", 0, 0, None), ("p", 1, 0, None), ("ul", 0, 1, "")]
 
 
-def test_layouts_of_a_host(spark):
+def test_layouts_and_copies_of_a_host(spark):
     draw = random.Random(19)
     menu = '<div class="nav"><a href=/>home</a></div>'
     rows, want = [], {}
@@ -528,6 +528,17 @@ def test_layouts_of_a_host(spark):
         a, b = sentence(draw, 9), sentence(draw, 7)
         # Pages with an article and pages with plain text on one host.
         add("mixed", article([("p", a)]) if i % 2 else f"<div><p>{a}</p><p>{b}</p></div>", a if i % 2 else f"{a} {b}")
+        # The same subheadings in all articles.
+        add("same", article([("h2", "Facts"), ("p", a), ("h2", "More"), ("p", b)]), f"Facts {a} More {b}")
+    # Copies of one page, with and without an article, four or ten.
+    for n in (4, 10):
+        for _ in range(n):
+            add(f"copies{n}", article([("h1", "Title"), ("p", "one two"), ("h2", "Part"), ("p", "three")]), "Title one two Part three")
+            add(f"plain{n}", "<div><p>four five six</p></div>", "four five six")
+    # What many different pages share outside of articles is part of the template.
+    for _ in range(10):
+        a = sentence(draw, 8)
+        add("template", f"<h4>all rights</h4><p>{a}</p>", a)
     df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
     got = {r.page_id: r.text for r in wrappers.main_text(df, wrappers.learn_wrappers(df)).collect()}
     assert got == want

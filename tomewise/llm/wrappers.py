@@ -8,8 +8,9 @@ optional, and texts that differ become slots; texts that never differ are part o
 Tasks build a wrapper of each host from the pages they hold, and wrappers are merged by the same alignment, first in
 groups and then by host, so that a host with a third of all pages is spread like any other.
 
-The main text is what fills slots inside the article of a page (without one with text: slots that are not mostly
-links), but for menus, notices and the like, which tags, class names and ids give away.
+The main text is all text inside the article of a page, but for menus, notices and the like, which tags, class names
+and ids give away. Of a page that has no article with text it is what fills slots of the wrapper that are not mostly
+links. A text is part of the template if many different pages agree on it; pages with the same texts count as one.
 
 Null html is empty: no text. Pages without a host share a wrapper. Repeated rows are extracted alike; an empty table
 gives no rows. Whole pages of any length are read; broken markup is closed where HTML would close it.
@@ -17,6 +18,7 @@ gives no rows. Whole pages of any length are read; broken markup is closed where
 
 from __future__ import annotations
 
+import hashlib
 import html
 import json
 import re
@@ -61,7 +63,7 @@ OTHER_WORDS = frozenset(
 ARTICLE_WORDS = frozenset("article content post entry story main maincontent articlebody".split())
 WORDS = re.compile(r"[a-z]+|[0-9]+")
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
-MIN_PAGES = 5  # a text that so many pages share is part of the template
+MIN_PAGES = 5  # a text that so many different pages share, outside of an article, is part of the template
 
 
 class Element:
@@ -154,26 +156,44 @@ def clean(text: str) -> str:
     return " ".join(html.unescape(text).split())
 
 
-# A wrapper is a dict: l label, n pages (or groups) that have it, t its texts if they never differ (else null),
-# c characters of text, a of them in links, r whether it repeats, o whether it is optional, k the elements inside.
+# A wrapper is a dict: l label, d hashes of different pages that have it (no more than MIN_PAGES), t its texts if they
+# never differ (else null), c characters of text, a of them in links, r whether it repeats, o whether it is optional,
+# k the elements inside.
 
 
-def _of(page: Element) -> dict:
+def _of(page: Element, name: int | None = None) -> dict:
+    if name is None:
+        name = _name(page)
     texts = clean(" ".join(x for x in page.parts if isinstance(x, str)))
-    node = {"l": page.label, "n": 1, "t": texts, "c": len(texts), "a": min(page.linked, len(texts)), "r": 0, "o": 0, "k": []}
+    node = {"l": page.label, "d": [name], "t": texts, "c": len(texts), "a": min(page.linked, len(texts)), "r": 0, "o": 0, "k": []}
     for x in page.parts:
         if isinstance(x, Element):
-            node["k"].append(_of(x))
+            node["k"].append(_of(x, name))
     return _fold(node)
 
 
+def _name(page: Element) -> int:
+    """A hash of the page's texts in order: the same for its copies."""
+    made = hashlib.blake2b(digest_size=6)
+
+    def walk(element: Element) -> None:
+        for x in element.parts:
+            if isinstance(x, str):
+                made.update(clean(x).encode("utf-8", "surrogatepass") + b"\0")
+            else:
+                walk(x)
+
+    walk(page)
+    return int.from_bytes(made.digest())
+
+
 def _fold(node: dict) -> dict:
     """Like neighbours become one repeated element."""
     kept: list[dict] = []
     for x in node["k"]:
         if kept and kept[-1]["l"] == x["l"]:
             kept[-1] = merge(kept[-1], x)
-            kept[-1]["n"], kept[-1]["r"] = 1, 1
+            kept[-1]["r"] = 1
         else:
             kept.append(x)
     node["k"] = kept
@@ -190,14 +210,14 @@ def merge(a: dict, b: dict) -> dict:
             kids += [merge(x, y) for x, y in zip(left[i:j], right[p:q])]
         else:
             kids += [{**x, "o": 1} for x in [*left[i:j], *right[p:q]]]
+    pages = a["d"]
+    if len(pages) < MIN_PAGES and pages != b["d"]:
+        pages = sorted({*pages, *b["d"]})[:MIN_PAGES]
     node = {
-        "l": a["l"], "n": a["n"] + b["n"], "t": a["t"] if a["t"] == b["t"] else None, "c": a["c"] + b["c"],
+        "l": a["l"], "d": pages, "t": a["t"] if a["t"] == b["t"] else None, "c": a["c"] + b["c"],
         "a": a["a"] + b["a"], "r": a["r"] | b["r"], "o": a["o"] | b["o"], "k": kids,
     }
-    pages = node["n"]
-    node = _fold(node)
-    node["n"] = pages
-    return node
+    return _fold(node)
 
 
 def is_other(label: str, in_article: bool) -> bool:
@@ -224,7 +244,7 @@ def _has_text(page: Element) -> bool:
 
 
 def extract(wrapper: dict, page: Element) -> str:
-    """Texts of the page that fill content slots of the wrapper, in order, joined by single blanks."""
+    """Texts of the page's article, or that fill content slots of the wrapper, in order, joined by single blanks."""
     needs_article = _has_article(page)
     found: list[str] = []
 
@@ -234,9 +254,9 @@ def extract(wrapper: dict, page: Element) -> str:
         inside = inside or is_article(element.label)
         # Elements that the wrapper lacks are judged by their labels alone.
         slots = _slots([x.label for x in element.parts if isinstance(x, Element)], node)
-        fixed = node is not None and node["t"] is not None and node["n"] >= MIN_PAGES
-        links = node is not None and not needs_article and node["c"] and node["a"] * 2 > node["c"]
-        own = (inside or not needs_article) and not fixed and not links
+        fixed = node is not None and node["t"] is not None and len(node["d"]) >= MIN_PAGES
+        links = node is not None and node["c"] and node["a"] * 2 > node["c"]
+        own = inside if needs_article else not fixed and not links
         at = 0
         for x in element.parts:
             if isinstance(x, str):
