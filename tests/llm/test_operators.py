@@ -412,6 +412,30 @@ def test_license_rules(spark):
     assert got[6].score == 0 and got[1].score == 1
 
 
+def test_license_keywords_lose_nothing(spark):
+    names = ["Attribution", "Attribution-NonCommercial-NoDerivs", "Attribution-NonCommercial-ShareAlike", "Attribution-NonCommercial"]
+    names += ["Attribution-NoDerivatives", "Attribution Share Alike", "Zero"]
+    texts = [f"{grant} the Creative Commons {n} {end}" for n in names for grant in ("Licensed under", "see") for end in ("4.0 License", "licence", "1.0")]
+    texts += [f"{grant} the GNU {n} General Public License" for n in ("Library", "Lesser") for grant in ("distributed under", "see")]
+    for label, _, name, short, versions in licenses.LICENSES:
+        plain = re.sub(r"\(\?:[^()]*\)\?|\?", "", name).split("|")
+        texts += [f"licensed under the {n} license {v}" for n in plain for v in ("", *versions)]
+        texts += [f"SPDX-License-Identifier: {short or label} {v}" for v in ("", *versions)]
+    got = {r.doc_id: r for r in licenses.scan(frame(spark, list(enumerate(texts)))).collect()}
+    for i, text in enumerate(texts):
+        joined = f" {' '.join(re.findall(r'[a-z0-9]+', text.lower()))} "
+        found = []
+        for rule in licenses.rules():
+            found += [(m.start(), -m.end(), rule.priority, rule.label) for m in re.finditer(f"(?<= )(?:{rule.pattern})(?= )", joined)]
+        found.sort()
+        kept = {x[3] for j, x in enumerate(found) if not any(y[1] <= x[1] and y[2] <= x[2] for y in found[:j])}
+        kept |= {label for phrase, label in licenses.BASE if f" {phrase} " in joined}
+        assert set(filter(None, got[i].labels.split(","))) == kept, text
+    assert "cc-by" in got[0].labels and got[0].score > 0
+    library = texts.index("see the GNU Library General Public License")
+    assert "lgpl" in got[library].labels and got[library].score > 0
+
+
 # --- language and toxicity ---------------------------------------------------
 
 LANGUAGES = {"aa": "abcde", "bb": "fghij", "cc": "klmno"}

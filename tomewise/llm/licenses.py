@@ -1,6 +1,7 @@
 """License scans: ordered signature rules on normalized words, gated by keywords.
 
-A rule has a priority, a label, a keyword and a pattern. Only texts that hold the keyword are searched for the pattern.
+A rule has a priority, a label, a keyword and a pattern. Only texts that hold the keyword are searched for the pattern,
+which can not match without it.
 A detection that lies within another one of the same or a better priority is suppressed; of two that cover the same
 words the better, then the first label stays. What is left, and the four base phrases, are the labels.
 
@@ -26,10 +27,12 @@ BASE = (
     ("mit license", "mit"),
 )
 
-# Label, keyword, name, words of the identifier without the version, versions.
+# Label, keyword that is a word of the name, name, words of the identifier without the version, versions.
+# A license whose names have no word in common has a row for each name; only one of them has the identifier.
 LICENSES = (
     ("agpl", "affero", "gnu affero general public", "agpl", ("3 0", "1 0")),
-    ("lgpl", "lesser", "gnu (?:lesser|library) general public", "lgpl", ("3 0", "2 1", "2 0")),
+    ("lgpl", "lesser", "gnu lesser general public", "lgpl", ("3 0", "2 1", "2 0")),
+    ("lgpl", "library", "gnu library general public", None, ("3 0", "2 1", "2 0")),
     ("gpl", "general", "gnu general public", "gpl", ("3 0", "2 0", "1 0")),
     ("gfdl", "documentation", "gnu free documentation", "gfdl", ("1 3", "1 2", "1 1")),
     ("apache", "apache", "apache(?: software)?", "apache", ("2 0", "1 1", "1 0")),
@@ -47,13 +50,14 @@ LICENSES = (
     ("boost", "boost", "boost software", "bsl", ("1 0",)),
     ("unlicense", "unlicense", "the unlicense|unlicense", "unlicense", ()),
     ("wtfpl", "wtfpl", "wtfpl", "wtfpl", ("2",)),
-    ("cc0", "cc0", "cc0|creative commons zero", "cc0", ("1 0",)),
-    ("cc-by-nc-nd", "cc", "creative commons attribution noncommercial no ?deriv(?:ative)?s", "cc by nc nd", ("4 0", "3 0", "2 5", "2 0")),
-    ("cc-by-nc-sa", "cc", "creative commons attribution noncommercial share ?alike", "cc by nc sa", ("4 0", "3 0", "2 5", "2 0")),
-    ("cc-by-nc", "cc", "creative commons attribution noncommercial", "cc by nc", ("4 0", "3 0", "2 5", "2 0")),
-    ("cc-by-nd", "cc", "creative commons attribution no ?deriv(?:ative)?s", "cc by nd", ("4 0", "3 0", "2 5", "2 0")),
-    ("cc-by-sa", "cc", "creative commons attribution share ?alike", "cc by sa", ("4 0", "3 0", "2 5", "2 0")),
-    ("cc-by", "cc", "creative commons attribution", "cc by", ("4 0", "3 0", "2 5", "2 0")),
+    ("cc0", "cc0", "cc0", "cc0", ("1 0",)),
+    ("cc0", "creative", "creative commons zero", None, ("1 0",)),
+    ("cc-by-nc-nd", "creative", "creative commons attribution noncommercial no ?deriv(?:ative)?s", "cc by nc nd", ("4 0", "3 0", "2 5", "2 0")),
+    ("cc-by-nc-sa", "creative", "creative commons attribution noncommercial share ?alike", "cc by nc sa", ("4 0", "3 0", "2 5", "2 0")),
+    ("cc-by-nc", "creative", "creative commons attribution noncommercial", "cc by nc", ("4 0", "3 0", "2 5", "2 0")),
+    ("cc-by-nd", "creative", "creative commons attribution no ?deriv(?:ative)?s", "cc by nd", ("4 0", "3 0", "2 5", "2 0")),
+    ("cc-by-sa", "creative", "creative commons attribution share ?alike", "cc by sa", ("4 0", "3 0", "2 5", "2 0")),
+    ("cc-by", "creative", "creative commons attribution", "cc by", ("4 0", "3 0", "2 5", "2 0")),
     ("ofl", "font", "sil open font|open font", "ofl", ("1 1", "1 0")),
     ("psf", "python", "python software foundation", "psf", ("2 0",)),
     ("php", "php", "php", "php", ("3 01", "3 0")),
@@ -92,16 +96,18 @@ def rules() -> list[Rule]:
     found = []
     word = "licen[cs]e"
     for label, keyword, name, short, versions in LICENSES:
-        first = short.split()[0]
         name = f"(?:{name})"
-        found.append(Rule(1, label, first, f"spdx {word} identifier {short}(?: [0-9]+)*"))
-        found.append(Rule(1, label, first, f"licen[cs]es {short}(?: [0-9]+)*"))
+        if short is not None:
+            first = short.split()[0]
+            found.append(Rule(1, label, first, f"spdx {word} identifier {short}(?: [0-9]+)*"))
+            found.append(Rule(1, label, first, f"licen[cs]es {short}(?: [0-9]+)*"))
         found.append(Rule(2, label, keyword, f"licen[cs]ed under (?:the |an? )?{name}(?: {word})?(?: (?:version|v))?(?: [0-9]+)*"))
         found.append(Rule(2, label, keyword, f"(?:released|distributed|available|published) under (?:the |an? )?(?:terms of the )?{name}(?: {word})?"))
         found.append(Rule(4, label, keyword, f"{name} {word}"))
         for version in versions:
             found.append(Rule(3, f"{label}-{version.replace(' ', '.')}", keyword, f"{name}(?: {word})?(?: (?:version|v))? {version}"))
-            found.append(Rule(3, f"{label}-{version.replace(' ', '.')}", first, f"{short}(?: v)? {version}"))
+            if short is not None:
+                found.append(Rule(3, f"{label}-{version.replace(' ', '.')}", first, f"{short}(?: v)? {version}"))
     return found
 
 
@@ -193,7 +199,7 @@ def scan(df: DataFrame, doc_id: str = "doc_id", text: str = "text", signatures:
             for r in signatures
         )
     )
-    # Every pattern has one of these words in it, or its identifier's first word stands before a version.
+    # Every match of a pattern has its keyword in it as a word, so the gates lose none.
     words = sorted({r.keyword for r in signatures})
     gate = t.rlike(" (?:licen[cs]e[ds]?|under|" + "|".join(words) + ") ")
     open_rules = F.filter(table, lambda r: F.contains(t, r["keyword"]))
