@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomewise.llm import bpe, pii
+from tomewise.llm import bpe, decontaminate, filter_audit, manifest, pii
 from tomewise.llm.ann import nearest
 from tomewise.llm.common import held_out, table
 from tomewise.llm.jaccard import near_duplicates
@@ -88,3 +88,25 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op11_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.digest(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES |= {
+    "op11_manifest": manifest.ORACLE_SQL,
+    "op12_filter_audit": filter_audit.ORACLE_SQL,
+    "op13_decontamination": decontaminate.ORACLE_SQL,
+}
