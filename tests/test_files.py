@@ -10,10 +10,12 @@ from pathlib import Path
 import pytest
 
 from tests import corpus
+from pyspark.sql import functions as F
+
 from tomewise import sources
 from tomewise.operators.wordcount import word_count
 from tomewise.plans import jobs
-from tomewise.plans.storage import scratch_dir
+from tomewise.plans.storage import scratch_dir, store, stored_tables
 
 
 def write_books(folder: Path, texts: dict[str, str]) -> str:
@@ -62,6 +64,41 @@ def test_require_unique(spark, library):
         sources.require_unique(books.union(books), "file_name")
 
 
+def test_names_are_told_from_the_list_of_files(spark, library, tmp_path):
+    sources.require_unique_names(spark, library)
+    for folder in ("a", "b"):
+        (tmp_path / folder).mkdir()
+        (tmp_path / folder / "x.txt").write_text("text")
+    with pytest.raises(ValueError, match="'x.txt' is on 2 rows"):
+        sources.require_unique_names(spark, f"{tmp_path}/*/*.txt")
+
+
+def test_jobs_read_texts_once_and_leave_nothing(spark, library, tmp_path, monkeypatch):
+    reads = spark.sparkContext.accumulator(0)
+
+    def seen(text):
+        reads.add(1)
+        return text
+
+    count = F.udf(seen, "string").asNondeterministic()
+    monkeypatch.setattr(jobs, "read_books", lambda s, g: sources.read_books(s, g).withColumn("text", count("text")))
+    work = tmp_path / "work"
+    work.mkdir()
+    for job in (jobs.profile_books, jobs.compare_books, jobs.map_influence):
+        reads.value = 0
+        job(spark, library, str(tmp_path / job.__name__), work=str(work))
+        assert reads.value == 4
+        assert list(work.iterdir()) == []
+
+
+def test_stored_tables_go_when_a_job_fails(spark, tmp_path):
+    with pytest.raises(ZeroDivisionError), stored_tables(spark, str(tmp_path)) as folder:
+        store(spark.range(3), "numbers")
+        assert len(list(Path(folder).iterdir())) == 1
+        raise ZeroDivisionError
+    assert list(tmp_path.iterdir()) == []
+
+
 def test_split_size_is_used_and_restored(spark, tmp_path):
     (tmp_path / "lines.txt").write_text("some words here\n" * 40_000)
     name = "spark.sql.files.maxPartitionBytes"
@@ -118,7 +155,7 @@ def test_profile_books(spark, library, tmp_path):
 
 
 def test_compare_books(spark, library, tmp_path):
-    jobs.compare_books(spark, library, str(tmp_path))
+    jobs.compare_books(spark, library, str(tmp_path), min_similarity=0.1, all_pairs=True)
     bodies = {"1.txt": "cat dog cat", "2.txt": "dog fish", "10.txt": "cat dog bird"}
     # "no", "at" are short and "all" is a stop word.
     bodies["11.txt"] = "header"
@@ -135,10 +172,16 @@ def test_compare_books(spark, library, tmp_path):
     nearest = csv_rows(tmp_path / "top_5_similar_to_10.csv", single=True)
     assert [r["other_book"] for r in nearest] == ["1.txt", "2.txt", "11.txt"]
     assert len(csv_rows(tmp_path / "top_20_similar_pairs.csv", single=True)) == 6
+    similar = spark.read.parquet(f"{tmp_path}/similar_pairs.parquet").collect()
+    assert {(r.book1, r.book2) for r in similar} == {at for at, x in want.items() if x >= 0.1}
+    terms = csv_rows(tmp_path / "top_20_terms_of_10.csv", single=True)
+    assert [r["word"] for r in terms] == ["bird", "cat", "dog"]
+    average = csv_rows(tmp_path / "avg_similarity.csv", single=True)
+    assert float(average[0]["avg_similarity"]) == pytest.approx(sum(want.values()) / len(want))
 
 
 def test_compare_books_without_the_pair_table(spark, library, tmp_path):
-    jobs.compare_books(spark, library, str(tmp_path), all_pairs=False)
+    jobs.compare_books(spark, library, str(tmp_path))
     assert not (tmp_path / "all_pairwise_similarities.parquet").exists()
     assert (tmp_path / "top_20_similar_pairs.csv").exists()
 
@@ -154,3 +197,10 @@ def test_map_influence(spark, library, tmp_path):
     assert sorted(tuple(r.values()) for r in metrics) == [("Ann", "1", "1"), ("Bob", "1", "1")]
     top = csv_rows(tmp_path / "top_authors.csv", single=True)
     assert Counter(r["author"] for r in top) == {"Ann": 1, "Bob": 1}
+
+
+def test_map_influence_with_the_strongest_edges(spark, library, tmp_path):
+    jobs.map_influence(spark, library, str(tmp_path), edges_per_author=1)
+    assert not (tmp_path / "author_influence_network.csv").exists()
+    edges = csv_rows(tmp_path / "strongest_edges_per_author.csv")
+    assert sorted((r["influencer"], r["rank"], r["influenced"]) for r in edges) == [("Ann", "1", "Bob"), ("Bob", "1", "Ann")]

@@ -97,6 +97,67 @@ def test_degrees_with_years_far_apart(spark):
     assert tuple(network.influence_totals(profiles).head()) == (pairs, len(met))
 
 
+@pytest.fixture(scope="module")
+def spread_rows():
+    """Authors with six books each: ten within a few years, the others in years over both centuries."""
+    draw = random.Random(21)
+    near = [(f"N{i}", 1950 + i + draw.randint(0, 6)) for i in range(10) for _ in range(6)]
+    return near + [(f"A{i:03}", draw.randint(1900, 2099)) for i in range(80) for _ in range(6)]
+
+
+@pytest.fixture(scope="module")
+def spread_profiles(spark, spread_rows):
+    books = spark.createDataFrame([(f"b{i}", *r) for i, r in enumerate(spread_rows)], "file_name string, author string, release_year int")
+    return store(network.author_profiles(books), "profiles")
+
+
+@pytest.mark.parametrize("cell", [4096, 7])
+def test_degrees_in_cells(spread_rows, spread_profiles, monkeypatch, cell):
+    monkeypatch.setattr(network, "CELL_SETS", cell)
+    met = {(a, b) for a, y in spread_rows for b, z in spread_rows if a != b and 1 <= z - y <= 20}
+    assert dict(tuples(network.out_degree(spread_profiles))) == Counter(a for a, _ in met)
+    assert dict(tuples(network.in_degree(spread_profiles))) == Counter(b for _, b in met)
+
+
+@pytest.mark.parametrize("heavy", [1, 8, 256])
+def test_strongest_edges_of_authors_with_equal_numbers_of_books(spread_rows, spread_profiles, monkeypatch, heavy):
+    compared = []
+    whole = network.profile_edges
+
+    def counted(profiles, late=None):
+        compared.append((profiles.count(), (profiles if late is None else late).count()))
+        return whole(profiles, late)
+
+    monkeypatch.setattr(network, "profile_edges", counted)
+    monkeypatch.setattr(network, "HEAVY_PROFILES", heavy)
+    gaps = defaultdict(list)
+    for a, y in spread_rows:
+        for b, z in spread_rows:
+            if a != b and 1 <= z - y <= 20:
+                gaps[a, b].append(z - y)
+    want = sorted(((*at, len(g), min(g), max(g)) for at, g in gaps.items()), key=lambda e: (-e[2], e[0], e[1]))[:5]
+    assert tuples(network.strongest_edges(spread_profiles, 5)) == want
+    # Once a floor is known, not all profiles are compared.
+    if heavy == 8:
+        assert compared[-1][0] * compared[-1][1] < 90 * 90 / 2
+
+
+@pytest.mark.parametrize("k", [1, 3, 100])
+def test_strongest_edges_per_author(profiles, pairs, k):
+    want = set()
+    for author in {a for a, *_ in pairs}:
+        mine = sorted((e for e in pairs if e[0] == author), key=lambda e: (-e[2], e[1]))[:k]
+        want |= {(author, i, *e[1:]) for i, e in enumerate(mine, 1)}
+    got = tuples(network.strongest_edges_per_author(profiles, k))
+    assert len(got) == len(want) and set(got) == want
+
+
+def test_sketched_number_of_authors(spark):
+    books = spark.range(60_000).selectExpr("concat('A', id % 20000) author")
+    assert network.author_count(books).head()[0] == 20_000
+    assert network.author_count(books, log_size=14).head()[0] == pytest.approx(20_000, rel=0.03)
+
+
 def test_strongest_edges_from_few_heavy_profiles(profiles, pairs, monkeypatch):
     monkeypatch.setattr(network, "HEAVY_PROFILES", 3)
     want = sorted(pairs, key=lambda e: (-e[2], e[0], e[1]))[:5]

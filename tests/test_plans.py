@@ -6,8 +6,9 @@ import re
 
 import pytest
 
+from tomewise import queries
 from tomewise.operators import network, similarity, tfidf
-from tomewise.plans.storage import store
+from tomewise.plans.storage import spread, store
 from tomewise.queries import QUERIES
 from tomewise.sources import documents
 
@@ -26,9 +27,7 @@ def shuffles(text: str) -> list[str]:
 def test_no_cross_joins_and_no_python(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
-    assert "EvalPython" not in text and "MapInPandas" not in text
-    # The full pair table is the one place with Arrow batches.
-    assert "FlatMapGroupsInArrow" not in text or name == "cosine_pairs"
+    assert not any(python in text for python in ("EvalPython", "MapInPandas", "InArrow"))
 
 
 def test_scans_read_two_columns(spark):
@@ -97,3 +96,37 @@ def test_only_bounded_tables_are_broadcast_in_the_year_join(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin [year_late" in text
     assert all("year_late" in x for x in re.findall(r"BroadcastHashJoin .*", text))
+
+
+@pytest.fixture
+def stored(monkeypatch):
+    """The plans of all tables that are stored, by name."""
+    plans = {}
+
+    def keep(df, name):
+        plans.setdefault(name, []).append(plan(df))
+        return store(df, name)
+
+    for module in (similarity, tfidf, network, queries):
+        monkeypatch.setattr(module, "store", keep)
+    return plans
+
+
+@pytest.mark.parametrize("name", ["tfidf", "doc_vectors", "similar_pairs", "top_similar_pairs", "avg_similarity"])
+def test_texts_are_read_once(spark, stored, name):
+    last = plan(QUERIES[name](spark, SF_DIR))
+    plans = [last, *(text for texts in stored.values() for text in texts)]
+    assert sum(text.count("ReadSchema: struct<doc_id:bigint,text:string>") for text in plans) == 1
+    assert not any("InArrow" in text or "Python" in text or "CartesianProduct" in text for text in plans)
+
+
+def test_the_average_sorts_no_postings_by_document(spark, stored):
+    text = plan(QUERIES["avg_similarity"](spark, SF_DIR))
+    assert "Sort [doc_id" not in text and all("Sort [doc_id" not in t for texts in stored.values() for t in texts)
+
+
+def test_inputs_of_enough_splits_are_not_dealt_out(spark):
+    few = spark.range(100).coalesce(1)
+    many = spark.range(0, 100, 1, 32)
+    assert spread(few).rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
+    assert spread(many).rdd.getNumPartitions() == 32

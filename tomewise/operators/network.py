@@ -17,12 +17,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tomewise.functions import header
-from tomewise.plans.storage import store
+from tomewise.plans.storage import few_rows, store
 
 MIN_GAP = 1
 MAX_GAP = 20
 # Years are cut out of text as 19xx or 20xx.
-FIRST_YEAR = 1900
+FIRST_YEAR, LAST_YEAR = 1900, 2099
 
 # Rows of one side that meet in one task.
 CHUNK_ROWS = 4096
@@ -30,9 +30,15 @@ CHUNK_ROWS = 4096
 # Authors of one profile that meet in one task.
 PIECE_AUTHORS = 1024
 
-# Profiles with most books that are compared first, for a bound on the strongest edges.
+# Profiles with the largest bounds that are compared first, for a floor of the strongest edges.
 HEAVY_PROFILES = 256
 
+# Sets of years, and sets of windows, that meet in one task.
+CELL_SETS = 4096
+
+# Years that one number holds as bits.
+WORD_YEARS = 50
+
 
 def authors_and_years(
     books: DataFrame, key: str = "file_name", text_col: str = "text"
@@ -68,8 +74,14 @@ def author_book_counts(books: DataFrame) -> DataFrame:
     )
 
 
-def author_count(books: DataFrame) -> DataFrame:
-    return books.agg(F.count_distinct("author").alias("unique_authors"))
+def author_count(books: DataFrame, log_size: int | None = None) -> DataFrame:
+    """``unique_authors``, exactly; with ``log_size`` by a sketch of at most ``2 ** log_size`` registers per task.
+
+    Sketches are merged in place of names being shuffled; the standard error is about ``1.04 / 2 ** (log_size / 2)``.
+    """
+    if log_size is None:
+        return books.agg(F.count_distinct("author").alias("unique_authors"))
+    return books.agg(F.hll_sketch_estimate(F.hll_sketch_agg("author", log_size)).alias("unique_authors"))
 
 
 def top_authors_by_books(books: DataFrame, k: int = 20) -> DataFrame:
@@ -203,23 +215,24 @@ def author_profiles(books: DataFrame) -> DataFrame:
     return per_year.groupBy("author").agg(years.alias("years")).withColumn("profile", digest)
 
 
-def profile_edges(profiles: DataFrame) -> DataFrame:
+def profile_edges(profiles: DataFrame, late: DataFrame | None = None) -> DataFrame:
     """One row per pair of profiles of which the first influences the second.
 
     ``early`` and ``late`` are the profiles, ``early_authors`` and
     ``late_authors`` their numbers of authors, ``early_first`` and ``late_first``
     their first authors by name; ``num_connections``, ``min_year_gap`` and
     ``max_year_gap`` hold for any one author of each. Authors of a profile that is
-    paired with itself influence each other, but nobody themselves.
+    paired with itself influence each other, but nobody themselves. Profiles on the
+    second side are those of ``late``, if it is given; it has all authors of each.
     """
-    years = store(
-        profiles.groupBy("profile", "years")
-        .agg(F.count(F.lit(1)).alias("authors"), F.min("author").alias("first"))
-        .select("profile", "authors", "first", F.inline("years")),
-        "profile-years",
-    )
 
-    def side(name: str) -> DataFrame:
+    def by_year(profiles: DataFrame) -> DataFrame:
+        kinds = profiles.groupBy("profile", "years").agg(F.count(F.lit(1)).alias("authors"), F.min("author").alias("first"))
+        return store(kinds.select("profile", "authors", "first", F.inline("years")), "profile-years")
+
+    years = by_year(profiles)
+
+    def side(years: DataFrame, name: str) -> DataFrame:
         return years.select(
             F.col("profile").alias(name),
             F.col("authors").alias(f"{name}_authors"),
@@ -230,7 +243,7 @@ def profile_edges(profiles: DataFrame) -> DataFrame:
 
     only_oneself = (F.col("early") == F.col("late")) & (F.col("early_authors") == 1)
     return (
-        _meet(side("early"), side("late"), "early", "late")
+        _meet(side(years, "early"), side(years if late is None else by_year(late), "late"), "early", "late")
         .filter(~only_oneself)
         .groupBy("early", "late")
         .agg(
@@ -357,27 +370,97 @@ def influence_totals(profiles: DataFrame) -> DataFrame:
     )
 
 
+def _books(years: Column, fits=lambda y: F.lit(True)) -> Column:
+    """Number of an author's books in the years that fit."""
+    return F.aggregate(F.filter(years, lambda y: fits(y["release_year"])), F.lit(0).cast("bigint"), lambda n, y: n + y["n"])
+
+
+def _most_met(kinds: DataFrame, first: int, last: int) -> Column:
+    """By year: the most books that one author has from ``first`` to ``last`` years on; an array of 200 numbers."""
+    offset = F.explode(F.sequence(F.lit(-last), F.lit(-first)))
+    met = (
+        kinds.select("years", F.explode("years.release_year").alias("z"))
+        .select("years", "z", offset.alias("offset"))
+        .select("years", (F.col("z") + F.col("offset")).alias("y"))
+        .filter(F.col("y").between(FIRST_YEAR, LAST_YEAR))
+        .groupBy("y")
+        .agg(F.max(_books(F.col("years"), lambda z: (z - F.col("y")).between(first, last))).alias("most"))
+    )
+    # A row per year.
+    most = {r["y"]: r["most"] for r in met.collect()}
+    return F.array(*(F.lit(most.get(y, 0)).cast("bigint") for y in range(FIRST_YEAR, LAST_YEAR + 1)))
+
+
+def _bounded(profiles: DataFrame) -> tuple[DataFrame, int, int]:
+    """Stored profiles with bounds on the connections of their strongest edges, and the largest of two of them.
+
+    An author's books meet at most ``most_met`` books of one author each, so ``as_early`` and ``as_late`` are bounds.
+    All the books that one book meets lie within 20 years, so an edge also has at most the books of the one author
+    times the most books that the other has within 20 years, ``books`` times ``dense``.
+    """
+    kinds = store(profiles.groupBy("profile", "years").agg(F.count(F.lit(1)).alias("authors")), "kinds")
+
+    def bound(most: Column) -> Column:
+        return F.aggregate(
+            "years", F.lit(0).cast("bigint"), lambda total, y: total + y["n"] * F.get(most, y["release_year"] - FIRST_YEAR)
+        )
+
+    span = MAX_GAP - MIN_GAP
+    dense = F.array_max(
+        F.transform("years", lambda y: _books(F.col("years"), lambda z: (z - y["release_year"]).between(0, span)))
+    )
+    sized = store(
+        kinds.select(
+            "profile",
+            "authors",
+            bound(_most_met(kinds, MIN_GAP, MAX_GAP)).alias("as_early"),
+            bound(_most_met(kinds, -MAX_GAP, -MIN_GAP)).alias("as_late"),
+            _books(F.col("years")).alias("books"),
+            dense.alias("dense"),
+        ),
+        "bounds",
+    )
+    books, densest = sized.agg(F.max("books"), F.max("dense")).head()
+    return sized, books or 0, densest or 0
+
+
 def strongest_edges(profiles: DataFrame, k: int = 20) -> DataFrame:
     """The ``k`` author edges with the most connections, then by author names.
 
     All edges of a profile pair have equal connections and the smallest names
     come first. So only the best ``k`` profile pairs, by their best edge, and the
     first ``k + 1`` authors of a profile can be in the answer.
+
+    Profiles are compared best bound first: the ``k``-th best edge among those with
+    the largest bounds is a floor, and profiles that can not reach it are dropped.
+    That is repeated with four times as many until no more are left than that.
     """
-    # No edge has more connections than the product of its authors' books. The k-th best edge among the profiles
-    # with most books bounds the answer from below, and drops all profiles that can not reach it.
-    books = F.aggregate("years", F.lit(0).cast("bigint"), lambda total, y: total + y["n"])
-    sized = profiles.withColumn("books", books)
-    kinds = sized.groupBy("profile").agg(F.max("books").alias("books"))
-    most = kinds.orderBy(F.desc("books"), "profile").limit(HEAVY_PROFILES)
-    heavy = profiles.join(F.broadcast(most.select("profile")), "profile", "left_semi")
-    pairs = F.col("early_authors") * _other_authors("late_authors")
-    best = profile_edges(heavy).withColumn("edges", pairs).orderBy(F.desc("num_connections")).limit(k)
-    rows = best.agg(F.min("num_connections").alias("floor"), F.sum("edges").alias("edges")).head()
-    if rows["edges"] is not None and rows["edges"] >= k:
-        limit = sized.agg(F.max("books")).head()[0]
-        profiles = sized.filter(F.col("books") * F.lit(limit) >= rows["floor"]).select("author", "years", "profile")
-    edges = store(profile_edges(profiles), "profile-edges")
+    sized, books, densest = _bounded(profiles)
+    take, floor = HEAVY_PROFILES, 0
+    while True:
+        reach = (F.col("books") * densest >= floor) & (F.col("dense") * books >= floor)
+        early = sized.filter(reach & (F.col("as_early") >= floor))
+        late = sized.filter(reach & (F.col("as_late") >= floor))
+        left = max(early.count(), late.count())
+        if left <= take:
+            break
+
+        def heads(kinds: DataFrame, bound: str) -> DataFrame:
+            best = kinds.orderBy(F.desc(bound), F.desc("dense"), "profile").limit(take).select("profile")
+            return profiles.join(few_rows(store(best, "heads")), "profile", "left_semi")
+
+        pairs = F.col("early_authors") * _other_authors("late_authors")
+        edges = profile_edges(heads(early, "as_early"), heads(late, "as_late"))
+        best = edges.withColumn("edges", pairs).orderBy(F.desc("num_connections")).limit(k)
+        rows = best.agg(F.min("num_connections").alias("floor"), F.sum("edges").alias("edges")).head()
+        if rows["edges"] is not None and rows["edges"] >= k:
+            floor = rows["floor"]
+        take *= 4
+
+    def kept(kinds: DataFrame) -> DataFrame:
+        return profiles.join(few_rows(kinds.select("profile")), "profile", "left_semi")
+
+    edges = store(profile_edges(kept(early), kept(late)), "profile-edges")
     order = [F.desc("num_connections"), "early_first", "late_first"]
     # The best edge of a profile with itself is not that of its first author
     # twice, so the two kinds are ranked apart.
@@ -404,6 +487,38 @@ def strongest_edges(profiles: DataFrame, k: int = 20) -> DataFrame:
     )
 
 
+def strongest_edges_per_author(profiles: DataFrame, k: int = 5) -> DataFrame:
+    """``(influencer, rank, influenced, num_connections, min_year_gap, max_year_gap)``: each author's ``k`` strongest
+    edges to later authors, then by name.
+
+    Authors of one profile have the same edges but for themselves, so a profile's ``k + 1`` first edges serve all its
+    authors. They lie in its ``k + 1`` best pairs of profiles, and among the first ``k + 1`` authors of each; both are
+    cut per task before they are shuffled, and the result is linear in the authors.
+    """
+    best = Window.partitionBy("early").orderBy(F.desc("num_connections"), "late_first")
+    pairs = profile_edges(profiles).withColumn("place", F.row_number().over(best)).filter(F.col("place") <= k + 1)
+    by_name = Window.partitionBy("profile").orderBy("author")
+    first = profiles.withColumn("place", F.row_number().over(by_name)).filter(F.col("place") <= k + 1)
+    named = pairs.join(first.select(F.col("profile").alias("late"), F.col("author").alias("influenced")), "late")
+    order = Window.partitionBy("early").orderBy(F.desc("num_connections"), "influenced")
+    edge = F.struct("influenced", "num_connections", "min_year_gap", "max_year_gap")
+    # At most k + 1 edges for a profile.
+    lists = (
+        named.withColumn("place", F.row_number().over(order))
+        .filter(F.col("place") <= k + 1)
+        .groupBy(F.col("early").alias("profile"))
+        .agg(F.sort_array(F.collect_list(F.struct("place", edge.alias("edge")))).alias("edges"))
+    )
+    mine = F.slice(F.filter("edges", lambda e: e["edge"]["influenced"] != F.col("author")), 1, k)
+    # A profile of many authors is on the side that is shuffled or broadcast once.
+    return (
+        profiles.select("author", "profile")
+        .join(lists, "profile")
+        .select(F.col("author").alias("influencer"), F.posexplode(mine).alias("i", "e"))
+        .select("influencer", (F.col("i") + 1).alias("rank"), "e.edge.*")
+    )
+
+
 # --- degrees ----------------------------------------------------------------
 
 
@@ -438,8 +553,8 @@ def _degrees(profiles: DataFrame, name: str, shift_first: int, shift_last: int)
 
     For one interval [l, r]: of the authors with a book in it, each has one first book in it, whose year is y and
     whose author's year before is p < l <= y <= r. So authors are counted per (p, y), at most 200 by 200 rows, and
-    an interval's number is a sum over them. The few authors with several intervals are grouped by these,
-    and their sets of years are held against the sets of years of all authors.
+    an interval's number is a sum over them. Of the authors with several intervals, different sets of windows are held
+    against different sets of years, both as bits.
     """
     authors = store(
         profiles.select("author", "years", _windows(shift_first, shift_last).alias("windows")).withColumn(
@@ -467,15 +582,53 @@ def _degrees(profiles: DataFrame, name: str, shift_first: int, shift_last: int)
     )
     simple = one.join(F.broadcast(found), ["l", "r"]).select("author", (F.col("n") - F.col("itself")).alias(name))
 
-    several = authors.filter(F.size("windows") > 1).select("author", "windows", itself.alias("itself"))
-    spread = F.explode(F.flatten(F.transform("windows", lambda w: F.sequence(w["l"], w["r"])))).alias("y")
-    sets = authors.groupBy("years").agg(F.count(F.lit(1)).alias("n")).withColumn("y", F.explode("years"))
-    hit = several.select("windows").distinct().select("windows", spread).join(sets, "y").select("windows", "years", "n").distinct()
-    hit = hit.groupBy("windows").agg(F.sum("n").alias("n"))
-    rest = several.join(hit, "windows").select("author", (F.col("n") - F.col("itself")).alias(name))
+    several = authors.filter(F.size("windows") > 1).withColumn(
+        "open_years", F.flatten(F.transform("windows", lambda w: F.sequence(w["l"], w["r"])))
+    )
+    several = store(several.select("author", *_year_bits("open_years"), itself.alias("itself")), "several-windows")
+    rest = several.join(_hits(several, authors), YEAR_BITS).select("author", (F.col("n") - F.col("itself")).alias(name))
     return simple.unionByName(rest).filter(F.col(name) > 0)
 
 
+YEAR_BITS = [f"years_{i}" for i in range(-(-(LAST_YEAR - FIRST_YEAR + 1) // WORD_YEARS))]
+
+
+def _year_bits(years: str) -> list[Column]:
+    """A list of years as bits in a few numbers; years without books are not held."""
+    return [
+        F.expr(
+            f"aggregate(filter({years}, y -> floor((y - {FIRST_YEAR}) / {WORD_YEARS}) = {i}), 0L,"
+            f" (bits, y) -> bits | shiftleft(1L, (y - {FIRST_YEAR}) % {WORD_YEARS}))"
+        ).alias(name)
+        for i, name in enumerate(YEAR_BITS)
+    ]
+
+
+def _hits(several: DataFrame, authors: DataFrame) -> DataFrame:
+    """``(years_0, ..., n)``: for each different set of windows, how many authors have a book in one of its years.
+
+    Different sets of windows meet different sets of years in a grid of cells of bounded size, and each two are compared
+    as bits. Numbers are summed in the task of the cell.
+    """
+    windows = store(several.select(*YEAR_BITS).distinct(), "window-sets")
+    years = store(authors.select(*_year_bits("years")).groupBy(*YEAR_BITS).agg(F.count(F.lit(1)).alias("n")), "year-sets")
+    rows, columns = (max(-(-df.count() // CELL_SETS), 1) for df in (windows, years))
+    cells = ["row", "column"]
+
+    def piece(pieces: int) -> Column:
+        return F.pmod(F.xxhash64(*YEAR_BITS), F.lit(pieces)).cast("int")
+
+    left = windows.withColumn("row", piece(rows)).withColumn("column", F.explode(F.sequence(F.lit(0), F.lit(columns - 1))))
+    right = years.select(*(F.col(c).alias(f"of_{c}") for c in YEAR_BITS), "n", piece(columns).alias("column")).withColumn(
+        "row", F.explode(F.sequence(F.lit(0), F.lit(rows - 1)))
+    )
+    common = [F.col(c).bitwiseAND(F.col(f"of_{c}")) for c in YEAR_BITS]
+    shared = common[0]
+    for bits in common[1:]:
+        shared = shared.bitwiseOR(bits)
+    return left.join(right, cells).filter(shared != 0).groupBy(*YEAR_BITS).agg(F.sum("n").alias("n"))
+
+
 def out_degree(profiles: DataFrame) -> DataFrame:
     """``(author, out_degree)``: how many authors each author influences."""
     return _degrees(profiles, "out_degree", MIN_GAP, MAX_GAP)

@@ -1,18 +1,20 @@
-"""Terms, document frequencies and TF-IDF weights, in long format.
+"""Terms, document frequencies and TF-IDF weights.
 
 Everything that concerns one document is computed inside its row, so that term
-counts and lengths need no shuffle. The two steps that cross documents are the
-document frequencies (one aggregation, partial per task) and the look-up of each
-term's IDF, which broadcasts the vocabulary while it is small.
+counts and lengths need no shuffle. ``stored_terms`` keeps them, a row with an
+array per document; texts are then read and cut into words once, however many
+operators follow. The two steps that cross documents are the document frequencies
+(one aggregation, partial per task) and the look-up of each term's IDF, which
+broadcasts the vocabulary while it is small.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tomewise.functions.text import normalize, strip_boilerplate, words
-from tomewise.plans.storage import BROADCAST_BYTES, ROW_OVERHEAD_BYTES, fits_broadcast, store
+from tomewise.plans.storage import BROADCAST_BYTES, ROW_OVERHEAD_BYTES, fits_broadcast, spread, store
 
 # Fewer than this many words can each hold more than its inverse of all postings.
 FREQUENT_WORDS = 100_000
@@ -41,27 +43,25 @@ def document_lengths(books: DataFrame, key: str = "file_name") -> DataFrame:
     return tokens(books, key).select(key, "word_count")
 
 
-def bags(books: DataFrame, key: str = "file_name") -> DataFrame:
-    """``(key, bag)``: the words of a book, sorted."""
-    return tokens(books, key).select(key, F.sort_array("words").alias("bag"))
+def document_terms(books: DataFrame, key: str = "file_name") -> DataFrame:
+    """``(key, word_count, terms)``, a row per book; ``terms`` has each word and its count, in order of words.
 
+    Equal words are neighbours when the words are sorted, so each run of them is a
+    term and its count is the distance to the start of the next run.
+    """
+    return _terms(tokens(books, key), key)
 
-def term_counts(books: DataFrame, key: str = "file_name") -> DataFrame:
-    """``(key, word_count, word, term_count)``, without a shuffle.
 
-    Equal words are neighbours in the sorted bag, so each run of them is a term
-    and its count is the distance to the start of the next run.
-    """
-    runs = bags(books, key).select(
-        key,
-        "bag",
-        F.size("bag").alias("word_count"),
-        F.filter(
-            F.transform(
-                "bag", lambda word, i: F.when((i == 0) | (word != F.get("bag", i - 1)), i)
-            ),
-            lambda start: start.isNotNull(),
-        ).alias("starts"),
+def _once(df: DataFrame, **columns: Column) -> DataFrame:
+    """``df`` with columns that are computed once, however often they are used: a generator keeps them from being merged."""
+    return df.select("*", F.inline(F.array(F.struct(*(c.alias(name) for name, c in columns.items())))))
+
+
+def _terms(tokens: DataFrame, key: str) -> DataFrame:
+    bags = _once(tokens, bag=F.sort_array("words"))
+    starts = F.filter(
+        F.transform("bag", lambda word, i: F.when((i == 0) | (word != F.get("bag", i - 1)), i)),
+        lambda start: start.isNotNull(),
     )
     terms = F.transform(
         "starts",
@@ -72,7 +72,17 @@ def term_counts(books: DataFrame, key: str = "file_name") -> DataFrame:
             .alias("term_count"),
         ),
     )
-    return runs.select(key, "word_count", F.inline(terms))
+    return _once(bags, starts=starts).select(key, "word_count", terms.alias("terms"))
+
+
+def stored_terms(books: DataFrame, key: str = "file_name") -> DataFrame:
+    """``document_terms``, stored: the one pass over the texts that all of TF-IDF and similarity needs."""
+    return store(_terms(spread(tokens(books, key)), key), "terms")
+
+
+def term_counts(books: DataFrame, key: str = "file_name") -> DataFrame:
+    """``(key, word_count, word, term_count)``, without a shuffle."""
+    return document_terms(books, key).select(key, "word_count", F.inline("terms"))
 
 
 def term_frequency(books: DataFrame, key: str = "file_name") -> DataFrame:
@@ -109,29 +119,45 @@ def tfidf(
     broadcast_bytes: int = BROADCAST_BYTES,
     frequent_words: int = FREQUENT_WORDS,
 ) -> DataFrame:
-    """``(key, word, term_count, word_count, tf, doc_freq, idf, tfidf)``.
+    """``(key, word, term_count, word_count, tf, doc_freq, idf, tfidf)``."""
+    return weigh(stored_terms(books, key), key, broadcast_bytes, frequent_words)
+
+
+def weigh(
+    terms: DataFrame,
+    key: str = "file_name",
+    broadcast_bytes: int = BROADCAST_BYTES,
+    frequent_words: int = FREQUENT_WORDS,
+) -> DataFrame:
+    """The weights of ``tfidf`` from ``stored_terms``.
 
     The vocabulary is stored first and its size looked up. While it fits it is
-    broadcast, and the weights come out of a second pass over the texts without
-    any shuffle. Beyond that the terms are stored too and looked up in two parts:
-    frequent words, of which there are fewer than ``frequent_words`` by
-    arithmetic, are broadcast; only rare ones, none with more than
-    ``1 / frequent_words`` of the rows, are shuffled. Very long frequent words
-    are left to the shuffle, where the skew join splits them.
+    broadcast, and the weights come out of the stored terms without any shuffle.
+    Beyond that terms are looked up in two parts: frequent words, of which there
+    are fewer than ``frequent_words`` by arithmetic, are broadcast; only rare
+    ones, none with more than ``1 / frequent_words`` of the rows, are shuffled.
+    Very long frequent words are left to the shuffle, where the skew join splits
+    them.
     """
-    vocabulary = store(idf(books, key), "vocabulary")
-    terms = term_frequency(books, key)
+    frequencies = (
+        terms.select(F.explode("terms.word").alias("word"))
+        .groupBy("word")
+        .agg(F.count(F.lit(1)).alias("doc_freq"))
+    )
+    vocabulary = store(_with_idf(frequencies, terms), "vocabulary")
+    counts = terms.select(key, "word_count", F.inline("terms")).withColumn(
+        "tf", F.col("term_count") / F.col("word_count")
+    )
     if fits_broadcast(vocabulary, "word", broadcast_bytes):
-        joined = terms.join(F.broadcast(vocabulary), "word")
+        joined = counts.join(F.broadcast(vocabulary), "word")
     else:
-        terms = store(terms, "terms")
         postings = vocabulary.agg(F.sum("doc_freq")).scalar()
         frequent = (F.col("doc_freq") * frequent_words > postings) & (
             F.octet_length("word") <= FREQUENT_WORD_BYTES
         )
         hot = F.broadcast(vocabulary.filter(frequent))
-        joined = terms.join(hot, "word").unionByName(
-            terms.join(hot.select("word"), "word", "left_anti").join(
+        joined = counts.join(hot, "word").unionByName(
+            counts.join(hot.select("word"), "word", "left_anti").join(
                 vocabulary.filter(~frequent), "word"
             )
         )
@@ -172,6 +198,16 @@ def top_terms_for_document(
     )
 
 
+def top_terms(weights: DataFrame, target: object, key: str = "file_name", k: int = 20) -> DataFrame:
+    """The same from the weights of all documents, where they are stored."""
+    return (
+        weights.filter(F.col(key) == F.lit(target))
+        .select("word", "tf", "idf", F.round("tfidf", 9).alias("tfidf"))
+        .orderBy(F.desc("tfidf"), "word")
+        .limit(k)
+    )
+
+
 def top_terms_per_document(weights: DataFrame, key: str = "file_name", k: int = 20) -> DataFrame:
     """``(key, rank, word, tfidf)``: the ``k`` heaviest terms of every document.
 

@@ -224,6 +224,11 @@ ORACLES: dict[str, str] = {
         (SELECT count(*) FROM author_edges) AS author_edges""",
     "strongest_edges": f"""WITH {_EDGES} SELECT * FROM author_edges
         ORDER BY num_connections DESC, influencer, influenced LIMIT 20""",
+    "strongest_edges_per_author": f"""WITH {_EDGES}, ranked AS (
+          SELECT *, CAST(row_number() OVER (PARTITION BY influencer ORDER BY num_connections DESC, influenced)
+            AS INTEGER) AS rank FROM author_edges)
+        SELECT influencer, rank, influenced, num_connections, min_year_gap, max_year_gap FROM ranked
+        WHERE rank <= 5""",
     "out_degree": f"WITH {_METRICS} SELECT * FROM outs",
     "in_degree": f"WITH {_METRICS} SELECT * FROM ins",
     "author_metrics": f"WITH {_METRICS} SELECT * FROM metrics",

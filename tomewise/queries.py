@@ -44,6 +44,10 @@ def _profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return store(network.author_profiles(_complete(spark, sf_dir)), "profiles")
 
 
+def _terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tfidf.stored_terms(documents(spark, sf_dir), KEY)
+
+
 def _weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tfidf.tfidf(documents(spark, sf_dir), KEY)
 
@@ -136,8 +140,10 @@ def cosine_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    units = store(similarity.unit_vectors(_weights(spark, sf_dir), KEY), "units")
-    pairs = similarity.similar_pairs(units, MIN_SIMILARITY, KEY)
+    terms = _terms(spark, sf_dir)
+    units = store(similarity.unit_vectors(tfidf.weigh(terms, KEY), KEY), "units")
+    copies = store(similarity.copy_groups(terms, KEY), "copies")
+    pairs = similarity.similar_pairs(units, MIN_SIMILARITY, KEY, copies)
     return _rounded(pairs, "similarity", places=similarity.PLACES)
 
 
@@ -151,9 +157,8 @@ def top_similar_to_doc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def top_similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return similarity.top_similar_pairs(
-        documents(spark, sf_dir), _stored_weights(spark, sf_dir), KEY
-    )
+    terms = _terms(spark, sf_dir)
+    return similarity.top_similar_pairs(terms, store(tfidf.weigh(terms, KEY), "weights"), KEY)
 
 
 # --- influence --------------------------------------------------------------
@@ -211,6 +216,7 @@ QUERIES: dict[str, Query] = {
     "influence_of_author": lambda s, d: network.edges_of_author(_complete(s, d), WRITER),
     "influence_totals": lambda s, d: network.influence_totals(_profiles(s, d)),
     "strongest_edges": lambda s, d: network.strongest_edges(_profiles(s, d)),
+    "strongest_edges_per_author": lambda s, d: network.strongest_edges_per_author(_profiles(s, d)),
     "out_degree": lambda s, d: network.out_degree(_profiles(s, d)),
     "in_degree": lambda s, d: network.in_degree(_profiles(s, d)),
     "author_metrics": _metrics,

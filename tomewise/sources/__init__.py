@@ -4,6 +4,7 @@ from tomewise.sources.text_files import (
     read_books,
     read_lines,
     require_unique,
+    require_unique_names,
     split_size,
 )
 
@@ -14,5 +15,6 @@ __all__ = [
     "read_books",
     "read_lines",
     "require_unique",
+    "require_unique_names",
     "split_size",
 ]

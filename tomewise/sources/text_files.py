@@ -31,11 +31,19 @@ def read_books(spark: SparkSession, glob: str) -> DataFrame:
     )
 
 
+def require_unique_names(spark: SparkSession, glob: str) -> None:
+    """Raise if two files of ``glob`` have one name, which joins on the name would then mix.
+
+    Only the list of files is read, not what is in them, and one duplicate at most comes back.
+    """
+    files = spark.read.format("binaryFile").load(glob).select(file_name(F.col("path")).alias("file_name"))
+    require_unique(files, "file_name")
+
+
 def require_unique(books: DataFrame, key: str) -> DataFrame:
     """Return ``books`` if ``key`` identifies its rows; raise otherwise.
 
-    Two directories can hold files of one name, and joins on the key would then
-    mix their words. Only the key is read, and one duplicate at most comes back.
+    Only the key is read, and one duplicate at most comes back.
     """
     twice = books.groupBy(key).count().filter(F.col("count") > 1).head(1)
     if twice:
