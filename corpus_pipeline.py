@@ -10,20 +10,24 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tomewise.llm.common import held_out, store, table
+from tomewise.llm.common import held_out, small, store, table
 from tomewise.llm.jaccard import near_duplicates
 from tomewise.llm.language import UNKNOWN, add_language, learn_languages
 from tomewise.llm.packing import pack
 from tomewise.llm.pii import redact
 from tomewise.llm.toxicity import add_toxicity, learn_toxicity
-from tomewise.plans.storage import BROADCAST_BYTES
 
 SHINGLE_WORDS, SIMILAR_PERCENT = 5, 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep documents in a language that was learned; those without text or without a letter go."""
+    """Keep documents in a language that was learned; those without text or without a letter go.
+
+    Where nothing can be learned, all documents with a letter stay.
+    """
     model = learn_languages(docs, learn=~held_out("doc_id", 4, 2))
+    if not model.languages:
+        return docs.filter(F.col("text").rlike(r"\p{L}"))
     found = add_language(docs, model, lang_pred="_lang", score="_score")
     return found.filter(F.col("_lang") != UNKNOWN).select(docs.columns)
 
@@ -35,15 +39,18 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the least id stays, with all rows that repeat it.
+    """Of each group of near copies one row stays: that with the least id, rows without an id last.
 
-    A row without an id stays.
+    Of rows that repeat a text and its id, any one. Rows without words are nobody's copies and all stay.
     """
-    groups = near_duplicates(docs, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT)
-    gone = store(groups.filter("doc_id != component_id").select("doc_id").distinct(), "near-copies")
-    if gone.count() * 64 <= BROADCAST_BYTES:
-        gone = F.broadcast(gone)
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    row = next(name for i in range(len(docs.columns) + 1) if (name := f"row_{i}") not in docs.columns)
+    # Stored with the rows, so that a number means the same row in every job.
+    order = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", F.monotonically_increasing_id().alias("at"))
+    numbered = store(docs.withColumn(row, order), "numbered-rows")
+    groups = near_duplicates(numbered, words=SHINGLE_WORDS, percent=SIMILAR_PERCENT, doc_id=row)
+    gone = groups.filter(F.col(f"{row}.at") != F.col("component_id.at")).select(F.col(f"{row}.at").alias("at"))
+    gone = small(store(gone, "near-copies"))
+    return numbered.join(gone, F.col(f"{row}.at") == gone["at"], "left_anti").select(docs.columns)
 
 
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
