@@ -60,16 +60,45 @@ def test_stages_keep_columns_and_take_effect(spark, documents):
 
 def test_near_copies_leave_one_of_each_group(spark):
     rows = near_copies()
-    got = corpus_pipeline.near_copies(spark, frame(spark, rows), SF_DIR)
+    got = Counter(r.doc_id for r in corpus_pipeline.near_copies(spark, frame(spark, rows), SF_DIR).collect())
     want = Counter()
-    for (doc_id, _, group), n in expected_groups(rows, 5, 80).items():
-        if doc_id is None or doc_id == group:
+    groups = set()
+    for (doc_id, size, group), n in expected_groups(rows, 5, 80).items():
+        if not size:
             want[doc_id] += n
-    assert Counter(r.doc_id for r in got.select("doc_id").collect()) == want
+        elif group is not None:
+            groups.add(group)
+    # Groups without an id leave a row without one.
+    alone = sum(1 for (_, size, group) in expected_groups(rows, 5, 80) if size and group is None)
+    assert got - want == Counter(groups) + Counter({None: alone})
+
+
+def test_near_copies_go_by_row(spark):
+    a, b = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    rows = [(3, a), (7, a), (7, b), (None, a), (None, None), (9, ""), (9, "")]
+    docs = frame(spark, rows).withColumn("row_0", F.lit("x"))
+    got = corpus_pipeline.near_copies(spark, docs, SF_DIR)
+    assert got.columns == docs.columns
+    assert Counter((r.doc_id, r.text) for r in got.collect()) == Counter([(3, a), (7, b), (None, None), (9, ""), (9, "")])
+
+
+def test_without_a_learned_language_documents_with_letters_stay(spark):
+    docs = frame(spark, [(1, "plain text", None), (2, "12 ½", None), (3, None, None), (4, "é", None)])
+    got = corpus_pipeline.language(spark, docs, SF_DIR).collect()
+    assert sorted(r.doc_id for r in got) == [1, 4]
+
+
+def test_stages_with_repeated_and_missing_ids(spark):
+    words = "some words of a text that is not short"
+    docs = frame(spark, [(None, words), (None, words + " x y"), (5, words * 2), (5, "é" * 9000), (6, "")], 2)
+    for stage in (corpus_pipeline.toxicity, corpus_pipeline.private_data):
+        got = stage(spark, docs, SF_DIR)
+        assert got.columns == docs.columns and got.count() == 5
+    assert corpus_pipeline.packing(spark, docs, SF_DIR).filter("piece = 0").count() == 5
 
 
 def test_language_and_odd_rows(spark):
-    rows = [(1, None, "aa"), (2, "", None), (3, "12 !", "aa"), *((i, sentence(random.Random(i), 9), "aa") for i in range(10, 40))]
+    rows = [(1, None, "aa"), (2, "", None), (3, "12 !", "aa"), (4, "½ ² Ⅷ ③ 12", "aa"), *((i, sentence(random.Random(i), 9), "aa") for i in range(10, 40))]
     got = corpus_pipeline.language(spark, frame(spark, rows), SF_DIR)
     assert sorted(r.doc_id for r in got.collect()) == list(range(10, 40))
     empty = frame(spark, [])

@@ -197,11 +197,13 @@ def near_duplicates(
     root = F.coalesce("root", "first")
     of_row = same.join(roots.withColumnRenamed("v", "first"), "first", "left").select("v", root.alias("root"))
     grouped = rows.select("v", "doc_id", "n").join(of_row, "v", "left")
-    least = grouped.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    least = grouped.filter("n > 0").groupBy("root").agg(F.min("doc_id").alias("component_id"), F.count("*").alias("rows"))
+    # Only components of several rows are looked up, so that no row is shuffled by its root while they are few.
+    least = small(store(least.filter("rows > 1").select("root", "component_id", F.lit(True).alias("found")), "components"))
     return grouped.join(least, "root", "left").select(
         F.col("doc_id").alias(doc_id),
         F.col("n").cast("long").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
+        F.when(F.col("found") & (F.col("n") > 0), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
 
 

@@ -167,7 +167,8 @@ def identify(model: LanguageModel):
 
     def one(text: str | None) -> tuple[str, float]:
         words = WORD.findall(text.lower()) if text else []
-        if not words:
+        # Numbers like one half and superscripts stand in words, but are no letters.
+        if not any(c.isalpha() for word in words for c in word):
             return UNKNOWN, 0.0
         if not model.languages:
             return UNKNOWN, 0.0
