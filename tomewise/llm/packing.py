@@ -20,6 +20,7 @@ import os
 import re
 import zlib
 from bisect import bisect_left, insort
+from functools import lru_cache
 
 import numpy as np
 import regex
@@ -42,10 +43,17 @@ WORD_END = "</w>"
 PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")
 
 
+# Letters below this are letters to Python and to the pattern alike, and normalizing them is lower-casing.
+LATIN = "\u0250"
+MARKS = frozenset(",.;:!?")
+
+
+@lru_cache(1)
 def word_encoder(path: str):
     """A function of a list of texts: their ids as little-endian 32-bit numbers.
 
-    For tokenizers that drop white space, treat words apart and mark their ends: words and parts of words met before are looked up.
+    For tokenizers that drop white space, treat words apart and mark their ends: words and parts of words met before are
+    looked up, also those of a worker's earlier tasks.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
@@ -73,7 +81,15 @@ def word_encoder(path: str):
             if DOTTED in word:
                 kept[word] = whole(word)
                 continue
-            found = PARTS.findall(word.lower() if word.isascii() else normalize(word))
+            latin = word.isascii() or max(word) < LATIN
+            low = word.lower() if latin else normalize(word)
+            # Most words are letters, or letters and a mark.
+            if latin and low.isalpha():
+                found = [low]
+            elif latin and low[-1] in MARKS and low[:-1].isalpha():
+                found = [low[:-1], low[-1]]
+            else:
+                found = PARTS.findall(low)
             if len(found) == 1 and (data := parts.get(found[0])) is not None:
                 kept[word] = data
             else:
