@@ -17,8 +17,11 @@ import json
 import mmap
 import tempfile
 from collections import Counter
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import lru_cache
 from itertools import chain
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -36,9 +39,13 @@ CHUNK = regex.compile(f"( ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+)")
 PARTS = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
-KEPT_WORDS = 200_000
+# Words that a worker keeps, about 250 bytes each.
+KEPT_WORDS = 500_000
+# Letters below this are letters to Python and to the pattern alike, and fall into one part.
+LATIN = "\u0250"
 LONG_WORD = 256
-NEVER = np.int64(1) << 62
+# Ranks lie below.
+NO_PAIR = np.int64(1) << 30
 
 
 def byte_letters() -> dict[str, int]:
@@ -116,25 +123,35 @@ class Merger:
         sizes = np.array([len(words[i]) for i in short], np.int64)
         ids = self.v.byte_ids[np.frombuffer(b"".join(words[i] for i in short), np.uint8)].astype(np.int64)
         owner = np.repeat(np.arange(len(short)), sizes)
-        while len(ids):
-            best = np.full(len(ids), NEVER)
-            key = ids[:-1] << 32 | ids[1:]
+        # The rank of the pair at each place, and what it joins to; only pairs beside a merge are looked up again.
+        rank = np.full(len(ids), NO_PAIR)
+        joined = np.zeros(len(ids), np.int64)
+
+        def look_up(places: np.ndarray) -> None:
+            places = places[(places >= 0) & (places < len(ids) - 1)]
+            key = ids[places] << 32 | ids[places + 1]
             at = np.minimum(np.searchsorted(self.v.pairs, key), len(self.v.pairs) - 1)
-            known = (self.v.pairs[at] == key) & (owner[:-1] == owner[1:])
-            place = np.flatnonzero(known)
-            best[place] = self.v.ranks[at[place]] << 32 | place
+            known = (self.v.pairs[at] == key) & (owner[places] == owner[places + 1])
+            rank[places] = np.where(known, self.v.ranks[at], NO_PAIR)
+            joined[places] = self.v.joined[at]
+
+        look_up(np.arange(len(ids)))
+        while len(ids):
+            rank[-1] = NO_PAIR
             starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
-            least = np.minimum.reduceat(best, starts)
-            open_words = least < NEVER
+            least = np.minimum.reduceat(rank << 32 | np.arange(len(ids)), starts)
+            open_words = least < NO_PAIR << 32
             if not open_words.all():
                 ends = np.append(starts[1:], len(ids))
                 for k in np.flatnonzero(~open_words).tolist():
                     done[short[owner[starts[k]]]] = ids[starts[k] : ends[k]].tolist()
             first = least[open_words] & 0xFFFFFFFF
-            ids[first] = self.v.joined[at[first]]
+            ids[first] = joined[first]
             keep = np.repeat(open_words, np.diff(np.append(starts, len(ids))))
             keep[first + 1] = False
-            ids, owner = ids[keep], owner[keep]
+            merged = (np.cumsum(keep) - 1)[first]
+            ids, owner, rank, joined = ids[keep], owner[keep], rank[keep], joined[keep]
+            look_up(np.concatenate([merged - 1, merged]))
         return [x if x is not None else [] for x in done]
 
 
@@ -242,28 +259,30 @@ class Lexicon:
 
 def _merge_parts(merger: Merger, words: list[str]) -> list[list[int]]:
     """Exact ids of words: each is parted by the tokenizer's pattern, and equal parts are merged once."""
-    parted = [PARTS.findall(w) for w in words]
+    parted = [
+        [w] if (w[1:] if w[0] == " " else w).isalpha() and (w.isascii() or max(w) < LATIN) else PARTS.findall(w)
+        for w in words
+    ]
     parts = list(dict.fromkeys(chain.from_iterable(parted)))
     ids = dict(zip(parts, merger([p.encode("utf-8", "surrogatepass") for p in parts])))
     return [list(chain.from_iterable(ids[p] for p in x)) for x in parted]
 
 
-def encoder(vocabulary: Vocabulary, lexicon: Lexicon):
-    """A function of a list of texts: the ids of each."""
+def chunk_encoder(vocabulary: Vocabulary, lexicon: Lexicon, entry: Callable[[list[int]], Any], kept: dict[str, Any]):
+    """A function of a list of texts: the entries of each text's words, made once from a word's ids and kept."""
     merger = Merger(vocabulary)
-    kept: dict[str, list[int]] = {}
-    special = regex.compile("(" + "|".join(map(regex.escape, vocabulary.special)) + ")") if vocabulary.special else None
+    specials = {t: entry([i]) for t, i in vocabulary.special.items()}
+    special = regex.compile("(" + "|".join(map(regex.escape, specials)) + ")") if specials else None
 
-    def work(texts: list) -> list[list[int]]:
+    def work(texts: list) -> list[list]:
         if len(kept) > KEPT_WORDS:
             kept.clear()
-            kept.update({t: [i] for t, i in vocabulary.special.items()})
+        kept.update(specials)
         split = []
         for t in texts:
             if not t:
                 split.append([])
-            elif special and any(x in t for x in vocabulary.special):
-                kept.update({x: [i] for x, i in vocabulary.special.items()})
+            elif special and any(x in t for x in specials):
                 parts = special.split(t)
                 split.append(
                     list(chain.from_iterable([x] if i % 2 else CHUNK.findall(x) for i, x in enumerate(parts)))
@@ -273,13 +292,19 @@ def encoder(vocabulary: Vocabulary, lexicon: Lexicon):
         new = list(set().union(*split) - kept.keys())
         found = lexicon.find([w.encode("utf-8", "surrogatepass") for w in new])
         rest = [w for w, ids in zip(new, found) if ids is None]
-        kept.update((w, ids) for w, ids in zip(new, found) if ids is not None)
-        kept.update(zip(rest, _merge_parts(merger, rest)))
-        return [list(chain.from_iterable(map(kept.__getitem__, x))) for x in split]
+        kept.update((w, entry(ids)) for w, ids in zip(new, found) if ids is not None)
+        kept.update(zip(rest, map(entry, _merge_parts(merger, rest))))
+        return [list(map(kept.__getitem__, x)) for x in split]
 
     return work
 
 
+def encoder(vocabulary: Vocabulary, lexicon: Lexicon):
+    """A function of a list of texts: the ids of each."""
+    chunks = chunk_encoder(vocabulary, lexicon, list, {})
+    return lambda texts: [list(chain.from_iterable(x)) for x in chunks(texts)]
+
+
 def decode(vocabulary: Vocabulary, ids: list[int]) -> str:
     """The text of ids; bytes that are no UTF-8 become replacement characters."""
     return b"".join(map(vocabulary.pieces.__getitem__, ids)).decode("utf-8", "replace")
@@ -321,6 +346,13 @@ def compile_lexicon(vocabulary: Vocabulary, words: list[str]) -> Lexicon:
     return Lexicon.compile({w.encode("utf-8"): x for w, x in zip(words, ids, strict=True)})
 
 
+@lru_cache(1)
+def _worker_state(path: str) -> tuple[Vocabulary, dict]:
+    """The vocabulary, and what a worker keeps from task to task: words with their number of ids, these as text, and the
+    bytes that they decode to."""
+    return Vocabulary.read(path), {}
+
+
 def digest(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text", max_words: int = 60_000) -> DataFrame:
     """Per row: id, number of ids, and digests of the ids and of the text that they decode to."""
     vocabulary = Vocabulary.read(path)
@@ -328,16 +360,22 @@ def digest(df: DataFrame, path: str, doc_id: str = "doc_id", text: str = "text",
     shared = df.sparkSession.sparkContext.broadcast(lexicon.pack())
 
     def start():
-        vocabulary = Vocabulary.read(path)
-        encode = encoder(vocabulary, Lexicon.map(*shared.value))
+        vocabulary, kept = _worker_state(path)
         names = [str(i) for i in range(len(vocabulary.pieces))]
 
+        def entry(ids: list[int]) -> tuple[int, str, bytes]:
+            return len(ids), ",".join([names[i] for i in ids]), b"".join([vocabulary.pieces[i] for i in ids])
+
+        chunks = chunk_encoder(vocabulary, Lexicon.map(*shared.value), entry, kept)
+
         def work(texts: list) -> tuple[list, list, list]:
             counts, ids_hash, text_hash = [], [], []
-            for ids in encode(texts):
-                counts.append(len(ids))
-                ids_hash.append(hashlib.sha256(",".join(map(names.__getitem__, ids)).encode()).hexdigest())
-                text_hash.append(hashlib.sha256(decode(vocabulary, ids).encode()).hexdigest())
+            for entries in chunks(texts):
+                sizes, ids, pieces = zip(*entries) if entries else ((), (), ())
+                counts.append(sum(sizes))
+                ids_hash.append(hashlib.sha256(",".join(ids).encode()).hexdigest())
+                decoded = b"".join(pieces).decode("utf-8", "replace")
+                text_hash.append(hashlib.sha256(decoded.encode()).hexdigest())
             return counts, ids_hash, text_hash
 
         return work
