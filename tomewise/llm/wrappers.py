@@ -22,6 +22,7 @@ import hashlib
 import html
 import json
 import re
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -63,6 +64,8 @@ OTHER_WORDS = frozenset(
 ARTICLE_WORDS = frozenset("article content post entry story main maincontent articlebody".split())
 WORDS = re.compile(r"[a-z]+|[0-9]+")
 HOST = r"^[a-zA-Z][a-zA-Z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)"
+# Elements nested deeper stand beside each other at this depth, in page order, as parts of what they lie in.
+MAX_DEPTH = 100
 MIN_PAGES = 5  # a text that so many different pages share, outside of an article, is part of the template
 
 
@@ -90,10 +93,21 @@ def parse(page: str) -> Element:
     """The tree of block elements; inline elements leave their text, and breaks leave white space."""
     root = Element("html", "html")
     stack, at, links = [root], 0, 0
+    opened: Counter = Counter()
+    # No tag ends behind the last bracket, so nothing is searched there again and again.
+    last = page.rfind(">") + 1
+
+    def put(made: Element) -> None:
+        """Into what is open, or beside it where that is as deep as can be."""
+        stack[min(len(stack), MAX_DEPTH) - 1].parts.append(made)
 
     def add(text: str) -> None:
         if text:
             top = stack[-1]
+            if len(stack) > MAX_DEPTH and stack[MAX_DEPTH - 1].parts[-1] is not top:
+                # Text behind an inner element goes on in a further part of its own.
+                top = stack[-1] = Element(top.tag, top.label)
+                put(top)
             if top.parts and isinstance(top.parts[-1], str):
                 top.parts[-1] += text
             else:
@@ -101,17 +115,25 @@ def parse(page: str) -> Element:
             if links:
                 top.linked += len(text)
 
+    def leave(k: int) -> None:
+        opened.subtract(x.tag for x in stack[k:])
+        del stack[k:]
+
     def close(tags: tuple, holders: tuple) -> None:
+        if not any(opened[tag] for tag in tags):
+            return
         for k in range(len(stack) - 1, 0, -1):
             if stack[k].tag in holders:
                 return
             if stack[k].tag in tags:
-                del stack[k:]
+                leave(k)
                 return
 
-    while m := TAG.search(page, at):
+    while m := TAG.search(page, at, last):
         add(page[at : m.start()])
         at = m.end()
+        if at == last and m[0].startswith("<!--") and not m[0].endswith("-->"):
+            return root  # a comment without an end takes the rest
         tag = (m[2] or m[5] or "").lower()
         if not tag:
             continue
@@ -119,10 +141,7 @@ def parse(page: str) -> Element:
             if tag == "a":
                 links = max(0, links - 1)
             elif tag in BLOCKS and tag not in ("html", "body"):
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k].tag == tag:
-                        del stack[k:]
-                        break
+                close((tag,), ())
                 links = 0
             continue
         if tag in RAW:
@@ -144,11 +163,14 @@ def parse(page: str) -> Element:
                 close(("p",), ())
             if tag in CLOSES:
                 close(CLOSES[tag], HOLDS[tag])
-            made = Element(tag, _label(tag, m[3] or m[6] or ""))
-            stack[-1].parts.append(made)
+            label = _label(tag, m[3] or m[6] or "")
+            if len(stack) >= MAX_DEPTH and is_other(stack[-1].label, True):
+                label += ".hidden"
+            made = Element(tag, label)
+            put(made)
             stack.append(made)
-    rest = page[at:]
-    add(rest)
+            opened[tag] += 1
+    add(page[at:].partition("<!--")[0])
     return root
 
 
