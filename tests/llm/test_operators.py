@@ -305,7 +305,31 @@ def test_messages_agree_with_all_labelings():
     assert np.allclose(p[0], joint.sum(1) / joint.sum(), atol=1e-3)
     assert np.allclose(p[1], joint.sum(0) / joint.sum(), atol=1e-3)
     chain, skip = pii.edges(pii.tokens("5551234 a 555-1234 b 5551234 z c@d.e x c@d.e"))
-    assert (chain, skip) == ([], [(0, 1), (1, 2), (3, 4)])
+    assert (chain, skip) == ([], [(0, 1), (0, 2), (3, 4)])
+
+
+def test_a_label_reaches_the_fiftieth_repeat():
+    """An observed label goes by way of the first like token to all of them, and to nothing else."""
+    model = pii.Field(bits=13, unary=np.zeros((1 << 13, pii.LABELS)))
+    model.skip = np.eye(pii.LABELS) * 3.0
+    text = " . ".join(["5550123456 and 77"] * 50)
+    found = pii.tokens(text)
+    labels = [pii.NONE] * len(found)
+    like = [i for i, t in enumerate(found) if "5550123456" in t.text]
+    labels[like[20]] = 3
+    p = pii.marginals(model, found, labels)
+    assert len(like) == 50 and all(p[i].argmax() == 3 for i in like)
+    assert p[like, 3].min() > 0.5
+    assert np.allclose(p[[i for i in range(len(found)) if i not in like]], 1 / pii.LABELS)
+
+
+def test_the_field_learns_from_whole_texts(spark):
+    draw = random.Random(5)
+    rows = [(i, sentence(draw, 300) + f" call +1 (555) 010-{1000 + i} now") for i in range(30)] + [(3, "+1 (555) 010-9999")] * 40
+    field = pii.learn_field(frame(spark, rows))
+    assert len(field.unary) and np.abs(field.unary[:, 3]).max() > 0
+    # Nothing fits below the size of the smallest text.
+    assert not len(pii.learn_field(frame(spark, rows[:30]), max_tokens=10).unary)
 
 
 # --- quality and licenses ----------------------------------------------------
@@ -530,6 +554,18 @@ def test_main_text_of_known_blocks(spark):
     assert wrappers.main_text(none, wrappers.learn_wrappers(none)).count() == 0
 
 
+def test_deep_and_broken_pages(spark):
+    """Nested elements keep their text in order, menus in them stay out, and no tag is searched for twice."""
+    deep = "<article>" + "".join(f"<div>t{i} " for i in range(5000)) + "</div>" * 5000 + " end</article>"
+    inner = "<main>" + "<div>" * 300 + "a<p>b</p>c<nav>no<div>no</div></nav>d" + "</div>" * 300 + "e</main>"
+    pages = [(1, deep), (2, inner), (3, "<p>x</p>" + "<a '" * 20_000), (4, "<p>x</p> y <!-- a <b> c"), (5, "x <!-- <"), (6, "<" * 9000)]
+    df = spark.createDataFrame([(i, f"http://h{i}.org/", p) for i, p in pages], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in wrappers.main_text(df, wrappers.learn_wrappers(df)).collect()}
+    assert got[1] == " ".join(f"t{i}" for i in range(5000)) + " end"
+    assert got[2] == "a b c d e" and got[4] == "x y" and got[5] == "x" and got[6] == "<" * 9000
+    assert got[3].startswith("x <a '<a '")
+
+
 def test_wrappers_generalize():
     a, b = (wrappers._of(wrappers.parse(f"<article><h1>{x}</h1><p>{x}{y}</article>")) for x, y in (("u", ""), ("v", "<p>w<ul><li>z</ul>")))
     merged = wrappers.merge(a, b)["k"][0]

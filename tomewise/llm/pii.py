@@ -18,13 +18,13 @@ import zlib
 from dataclasses import dataclass, field
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType, IntegerType, LongType, StringType, StructField, StructType
 )
 
-from tomewise.llm.common import append_columns, map_rows, sample_by_hash
+from tomewise.llm.common import append_columns, map_rows, sample_by_hash, store
 
 KINDS = ("email", "ip", "card", "phone")
 NONE = len(KINDS)
@@ -145,14 +145,13 @@ def _keys(found: list[Token]) -> list[str]:
 
 
 def edges(found: list[Token]) -> tuple[list[tuple[int, int]], list[tuple[int, int]]]:
-    """Chain edges between neighbours, skip edges between a token and the next like it."""
+    """Chain edges between neighbours, skip edges between a token and the first like it.
+
+    So any two like tokens are two steps apart, however many there are and however far from each other.
+    """
     chain = [(i - 1, i) for i, t in enumerate(found) if i and t.joined]
-    skip, last = [], {}
-    for i, key in enumerate(_keys(found)):
-        if key:
-            if key in last:
-                skip.append((last[key], i))
-            last[key] = i
+    first: dict[str, int] = {}
+    skip = [(at, i) for i, key in enumerate(_keys(found)) if key and (at := first.setdefault(key, i)) != i]
     return chain, skip
 
 
@@ -178,8 +177,11 @@ class Field:
     skip: np.ndarray = field(default_factory=lambda: np.zeros((LABELS, LABELS)))
 
 
-def marginals(model: Field, found: list[Token], labels: list[int], rounds: int = 12, damping: float = 0.3) -> np.ndarray:
-    """Label probabilities of each token by loopy sum-product; labels other than NONE are observed."""
+def marginals(model: Field, found: list[Token], labels: list[int], rounds: int = 200, damping: float = 0.3) -> np.ndarray:
+    """Label probabilities of each token by loopy sum-product; labels other than NONE are observed.
+
+    Messages pass until they settle, damped so that they do; ``rounds`` ends what does not.
+    """
     n = len(found)
     unary = np.stack([model.unary[_features(found, i, model.bits)].sum(0) for i in range(n)])
     seen = np.array(labels) != NONE
@@ -271,14 +273,18 @@ def fit_field(texts: list[tuple[list, list, list, list]], bits: int = 13, steps:
 
 
 def learn_field(
-    df: DataFrame, text: str = "text", doc_id: str = "doc_id", max_texts: int = 3000, max_tokens: int = 40, bits: int = 13
+    df: DataFrame, text: str = "text", doc_id: str = "doc_id", max_texts: int = 3000, max_tokens: int = 120_000, bits: int = 13
 ) -> Field:
-    """Fit to at most ``max_texts`` texts with tokens, picked by a hash of the id, and ``max_tokens`` tokens of each."""
+    """Fit to whole texts: at most ``max_texts`` of those with tokens, picked by a hash of the id and taken in the order of
+    a hash of their tokens while they have at most ``max_tokens`` tokens together; a longer one is passed over.
+    """
 
     chosen = sample_by_hash(
         df.filter(F.col(text).rlike("[0-9@]")).select(F.col(doc_id).alias("id")).distinct(), "id", max_texts
     )
-    texts = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id").select("text")
+    # One text for each id, so that rows that repeat an id do not add to the sample.
+    texts = df.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(chosen), "id")
+    texts = texts.groupBy("id").agg(F.min("text").alias("text")).select("text")
     pair = ArrayType(ArrayType(IntegerType()))
     schema = StructType(
         [StructField("x", pair), StructField("y", ArrayType(IntegerType())), StructField("c", pair), StructField("s", pair)]
@@ -288,15 +294,21 @@ def learn_field(
         def work(values: list) -> tuple[list, ...]:
             rows = []
             for value in values:
-                found = tokens(value or "")[:max_tokens]
-                if found:
+                found = tokens(value or "")
+                if 0 < len(found) <= max_tokens:
                     labels = observed(found, base_spans(value))
                     rows.append(([_features(found, i, bits) for i in range(len(found))], labels, *([list(e) for e in es] for es in edges(found))))
             return tuple([r[i] for r in rows] for i in range(4))
 
         return work
 
-    return fit_field([tuple(r) for r in map_rows(texts, ["text"], schema, read).collect()][:max_texts], bits)
+    # At most max_texts rows of a few numbers are ordered; only what fits is collected.
+    rows = store(map_rows(texts, ["text"], schema, read).withColumn("order", F.xxhash64("y", "x")), "field-sample")
+    so_far = Window.orderBy("order")
+    sizes = rows.select("order", F.size("y").alias("n")).withColumn("total", F.sum("n").over(so_far))
+    fits = F.broadcast(sizes.filter(F.col("total") <= max_tokens).select("order").distinct())
+    taken = rows.join(fits, "order", "left_semi").select("x", "y", "c", "s")
+    return fit_field([tuple(r) for r in taken.collect()], bits)
 
 
 def add_spans(
