@@ -92,8 +92,19 @@ def leaves(n, langs, seed):
     return rows + rows[: n // 5]
 
 
-@pytest.mark.parametrize("n, langs", [(1, ["a"]), (9, ["a"]), (400, ["a", "a", "a", None, "", "é"]), (90, [chr(97 + i % 26) * (i // 26 + 1) for i in range(70)])])
-@pytest.mark.parametrize("range_rows", [500_000, 7])
+MANY_LANGS = [chr(97 + i % 26) * (i // 26 + 1) for i in range(70)]
+
+
+@pytest.mark.parametrize(
+    "n, langs, range_rows",
+    [
+        (1, ["a"], 500_000),
+        (9, ["a"], 7),
+        (400, ["a", "a", "a", None, "", "é"], 500_000),
+        (400, ["a", "a", "a", None, "", "é"], 30),
+        (90, MANY_LANGS, 7),
+    ],
+)
 def test_manifest_equals_trees(spark, n, langs, range_rows, monkeypatch):
     place = manifest.in_order
     monkeypatch.setattr(manifest, "in_order", lambda rows, group, order, _: place(rows, group, order, range_rows))
@@ -219,8 +230,10 @@ def leaking(seed):
     return docs, items
 
 
-@pytest.mark.parametrize("size", [10, 3, 1])
-@pytest.mark.parametrize("block_bytes, shard_bytes", [(8 << 20, 16 << 20), (60, 16 << 20), (8 << 20, 1)])
+@pytest.mark.parametrize(
+    "size, block_bytes, shard_bytes",
+    [(10, 8 << 20, 16 << 20), (10, 300, 16 << 20), (3, 8 << 20, 1), (3, 300, 16 << 20), (1, 8 << 20, 16 << 20)],
+)
 def test_leaks_equal_all_windows(spark, size, block_bytes, shard_bytes, monkeypatch):
     docs, items = leaking(size)
     monkeypatch.setattr(decontaminate, "BLOCK_BYTES", block_bytes)
