@@ -32,7 +32,8 @@ from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 from tomewise.llm.common import append_columns, map_rows, store
 
 CAPACITY = 2048
-KEPT_WORDS = 900_000
+# Words of a task's cache: as many new ones again are kept until the older ones go, unless they were met once more.
+KEPT_WORDS = 150_000
 # Python takes these for white space, the tokenizer does not.
 SEPARATORS = re.compile("[\x1c-\x1f]")
 # The one letter whose lower case is two characters, which may no longer be normalized.
@@ -49,18 +50,24 @@ MARKS = frozenset(",.;:!?")
 
 
 @lru_cache(1)
-def word_encoder(path: str):
-    """A function of a list of texts: their ids as little-endian 32-bit numbers.
-
-    For tokenizers that drop white space, treat words apart and mark their ends: words and parts of words met before are
-    looked up, also those of a worker's earlier tasks.
-    """
+def _tokenizer(path: str):
+    """The tokenizer, read once in a worker."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
+    return tokenizer
+
+
+def word_encoder(path: str):
+    """A function of a list of texts: their ids as little-endian 32-bit numbers.
+
+    For tokenizers that drop white space, treat words apart and mark their ends: words and parts of words that the task
+    met before are looked up. They go with the task, so that a worker's next tasks, of whatever query, have its memory.
+    """
+    tokenizer = _tokenizer(path)
     special = [x.content for x in tokenizer.get_added_tokens_decoder().values()]
     normalize = tokenizer.normalizer.normalize_str
     vocabulary = tokenizer.get_vocab()
@@ -69,7 +76,9 @@ def word_encoder(path: str):
     # The caches hold no cycles, and looking for some in them costs more than the encoding.
     gc.set_threshold(200_000, 20, 100)
     kept: dict[str, bytes] = {}
+    aged: dict[str, bytes] = {}
     parts: dict[str, bytes] = {}
+    aged_parts: dict[str, bytes] = {}
 
     def whole(text: str) -> bytes:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -95,7 +104,7 @@ def word_encoder(path: str):
             else:
                 split.append((word, found))
                 new.update(found)
-        fresh = [p for p in new if p not in parts]
+        fresh = recall(new, parts, aged_parts)
         for at in range(0, len(fresh), 4096):
             some = fresh[at : at + 4096]
             ids = np.array(tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
@@ -111,15 +120,24 @@ def word_encoder(path: str):
         for word, found in split:
             kept[word] = b"".join([parts[p] for p in found])
 
+    def recall(words: set[str], young: dict[str, bytes], old: dict[str, bytes]) -> list[str]:
+        """Take words from the older half of a cache to the younger; those in neither are returned."""
+        words = words - young.keys()
+        met = words & old.keys()
+        for word in met:
+            young[word] = old[word]
+        return list(words - met)
+
     def work(texts: list) -> list[bytes]:
-        for cache in (kept, parts):
-            if len(cache) > KEPT_WORDS:
-                cache.clear()
+        nonlocal kept, aged, parts, aged_parts
+        if len(kept) > KEPT_WORDS:
+            kept, aged = {}, kept
+        if len(parts) > KEPT_WORDS:
+            parts, aged_parts = {}, parts
         texts = [t or "" for t in texts]
         odd = [bool(SEPARATORS.search(t)) or any(x in t for x in special) for t in texts]
         words = [[] if alone else t.split() for t, alone in zip(texts, odd, strict=True)]
-        new = list(set().union(*words) - kept.keys())
-        learn(new)
+        learn(recall(set().union(*words), kept, aged))
         return [
             whole(t) if alone else b"".join(map(kept.__getitem__, found))
             for t, found, alone in zip(texts, words, odd, strict=True)
