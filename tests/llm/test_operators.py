@@ -646,3 +646,26 @@ def test_neighbours_and_recall(spark):
     few = ann.nearest(df.filter("vec_id < 3"), F.col("vec_id") == 0).collect()
     assert [r.rank for r in few] == [1, 2]
     assert ann.nearest(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_walk_meets_what_a_full_product_finds():
+    draw = np.random.default_rng(21)
+    centers = draw.normal(size=(12, 24))
+    points = ann._unit(np.repeat(centers, 200, 0) + 0.4 * draw.normal(size=(2400, 24)))
+    centroids = ann.fit_centroids(points, 150)
+    links = ann.graph(centroids)
+    queries = points[::40]
+    away = ann.distances(queries, centroids)
+    full = np.ones(len(centroids), bool)
+    for ratio in (1.0, 1.2, 1.5):
+        want = away <= ratio * away.min(1, keepdims=True)
+        got = ann.lists_to_read(centroids, links, queries, ratio, 0.0, full)
+        hits = sum(want[i, c] for i, row in enumerate(got) for c in row)
+        assert hits >= 0.98 * want.sum() and all(got)
+    everything = ann.lists_to_read(centroids, links, queries, float("inf"), 0.0, full)
+    assert all(sorted(row) == list(range(len(centroids))) for row in everything)
+    # Where only one list is full, each query reads up to it; where none is, all lists.
+    full[:] = False
+    assert all(len(row) == len(centroids) for row in ann.lists_to_read(centroids, links, queries, 1.0, 0.0, full))
+    full[7] = True
+    assert all(7 in row for row in ann.lists_to_read(centroids, links, queries, 1.0, 0.0, full))

@@ -3,9 +3,10 @@
 Equal vectors are one, with their least ids. Centroids are fitted to a bounded sample, and over-full clusters give
 their surplus to a second centroid, so that lists have like sizes. Every vector goes to its nearest list, and a
 vector near a boundary also to others whose distance is within a ratio of the nearest, unless one of them stands
-for the same direction. A query reads the lists of its nearest centroids, all of which it is compared with. How many
-it reads is found out on the table itself: a bounded sample of the queries is compared with all vectors, and as many
-lists are read as find the asked share of those neighbours; an index of few lists is read whole. Lists are joined with
+for the same direction. A query walks a graph of the centroids, held in memory, from some spread over it to ever nearer
+ones, and reads every list whose distance is within a ratio of the nearest one's, however many these are. The ratio is
+found out on the table itself: a bounded sample of the queries is compared with all vectors, and the ratio is the least
+that finds the asked share of those neighbours; an infinite one reads all lists and is exact. Lists are joined with
 the queries that read them in blocks of bounded size, so neither a hot list nor a hot region meets in one task. Scores
 are exact.
 
@@ -65,16 +66,70 @@ def assign(centroids: np.ndarray, vectors: np.ndarray, replicas: int, ratio: flo
     return lists
 
 
-def ranked(centroids: np.ndarray, queries: np.ndarray, lists: int) -> np.ndarray:
-    """The numbers of the ``lists`` nearest centroids of each unit query, nearest first."""
-    return np.argsort(-(queries @ centroids.T), 1, kind="stable")[:, :lists]
+def distances(vectors: np.ndarray, centroids: np.ndarray) -> np.ndarray:
+    """Of each unit vector to each centroid."""
+    return np.sqrt(np.maximum(1 + (centroids * centroids).sum(1) - 2 * vectors @ centroids.T, 0))
 
 
-def lists_to_read(needed: np.ndarray, recall: float, least: int) -> int:
-    """How many lists find a share ``recall`` of neighbours that ``needed`` so many, but ``least`` at least."""
-    if not len(needed):
-        return least
-    return max(least, int(np.sort(needed)[max(0, int(np.ceil(recall * len(needed))) - 1)]))
+def graph(centroids: np.ndarray, near: int = 16, far: int = 4) -> np.ndarray:
+    """Each centroid's links: to its nearest others, and to some drawn at random, which tie regions together."""
+    n = len(centroids)
+    links = [np.argsort(-(centroids[at : at + 512] @ centroids.T), 1, kind="stable")[:, : near + 1] for at in range(0, n, 512)]
+    return np.concatenate([np.concatenate(links), np.random.default_rng(1).integers(n, size=(n, far))], 1)
+
+
+def walk(
+    centroids: np.ndarray, links: np.ndarray, queries: np.ndarray, ratio: float, least: float, beam: int = 8, step: int = 4
+) -> np.ndarray:
+    """Distances of each unit query to the centroids that its walk meets, infinite to others.
+
+    From about sqrt(n) entries, links of the nearest centroids are followed while these are within ``ratio`` of the
+    nearest (``least`` at least), or among the ``beam`` nearest met so far.
+    """
+    n, step = len(centroids), min(step, len(centroids))
+    met, followed = np.full((len(queries), n), np.inf), np.zeros((len(queries), n), bool)
+    entries = np.unique(np.linspace(0, n - 1, int(np.ceil(np.sqrt(n)))).astype(int))
+    met[:, entries] = distances(queries, centroids[entries])
+    norms = (centroids * centroids).sum(1)
+    active = np.arange(len(queries))
+    while len(active):
+        now = met[active]
+        bound = np.maximum(ratio * np.maximum(now.min(1), least), np.partition(now, min(beam, n) - 1, 1)[:, min(beam, n) - 1])
+        now[followed[active]] = np.inf
+        next_ = np.argpartition(now, step - 1, 1)[:, :step]
+        value = np.take_along_axis(now, next_, 1)
+        use = np.isfinite(value) & (value <= bound[:, None])
+        row, at = np.repeat(active, step).reshape(-1, step)[use], next_[use]
+        followed[row, at] = True
+        row, to = np.repeat(row, links.shape[1]), links[at].ravel()
+        new = np.isinf(met[row, to])
+        row, to = row[new], to[new]
+        met[row, to] = np.sqrt(np.maximum(1 + norms[to] - 2 * np.einsum("ij,ij->i", queries[row], centroids[to]), 0))
+        active = active[use.any(1)]
+    return met
+
+
+def lists_to_read(
+    centroids: np.ndarray, links: np.ndarray, queries: np.ndarray, ratio: float, least: float, full: np.ndarray
+) -> list[list[int]]:
+    """The lists within the ratio of each unit query, nearest first; further ones up to the first that is ``full``.
+
+    So a query finds as many vectors as a full list holds, or reads all lists if none is full.
+    """
+    met = walk(centroids, links, queries, ratio, least)
+    lost = ~(np.isfinite(met) & full).any(1)
+    met[lost] = distances(queries[lost], centroids)
+    order = np.argsort(met, 1, kind="stable")
+    near = np.take_along_axis(met, order, 1)
+    within = (near <= ratio * np.maximum(near[:, :1], least)) & np.isfinite(near)
+    first = np.where(full.any(), full[order].argmax(1), len(full) - 1) + 1
+    counts = np.maximum(within.sum(1), first)
+    return [row[:n] for row, n in zip(order.tolist(), counts.tolist(), strict=True)]
+
+
+def tuned(needed: np.ndarray, recall: float) -> float:
+    """The ratio that finds a share ``recall`` of neighbours which need such ratios."""
+    return float(np.sort(needed)[max(0, int(np.ceil(recall * len(needed))) - 1)]) if len(needed) else 1.0
 
 
 def _usable(vector: Column) -> Column:
@@ -89,22 +144,23 @@ def nearest(
     vec_id: str = "vec_id",
     vector: str = "embedding",
     k: int = 5,
-    list_size: int = 1024,
+    list_size: int = 512,
     max_sample: int = 32_768,
     sample_list: int = 8,
-    replicas: int = 4,
-    replica_ratio: float = 1.15,
-    least_lists: int = 64,
-    recall: float = 0.995,
+    replicas: int = 2,
+    replica_ratio: float = 1.02,
+    ratio: float | None = None,
+    recall: float = 0.99,
     max_trial: int = 512,
     block: int = 2048,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` nearest rows found for every row where ``queries`` holds.
 
-    The centroids are fitted to at most ``max_sample`` distinct vectors, picked by a hash; all vectors are indexed. Each
-    has ``sample_list`` vectors of the sample or more, so that in a large table lists are longer, and none is left out.
-    At most ``max_trial`` queries, picked by a hash, are compared with all vectors, to read as many lists as find a
-    share ``recall`` of their neighbours; up to ``least_lists`` lists are all read.
+    The centroids are fitted to at
+    most ``max_sample`` distinct vectors, picked by a hash; all vectors are indexed. Each list has ``sample_list`` vectors
+    of the sample or more, so that in a large table lists are longer, and none is left out. Without a ``ratio``, at most
+    ``max_trial`` queries, picked by a hash, are compared with all vectors, and the ratio is the least that finds a share
+    ``recall`` of their neighbours; an infinite ratio reads all lists.
     """
     spark = df.sparkSession
     rows = df.select(F.col(vec_id).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v"), queries.alias("q"))
@@ -131,19 +187,17 @@ def nearest(
     points = _unit(_matrix(sample.column(0).combine_chunks(), dims))
     lists = max(1, min(len(points) // sample_list, total // list_size))
     centroids = fit_centroids(points, lists)
-    # Where every list is read, one place for each vector is enough.
-    copies = replicas if lists > least_lists else 1
-    shared = spark.sparkContext.broadcast(centroids)
+    shared = spark.sparkContext.broadcast((centroids, graph(centroids)))
 
     def index():
         def work(vectors: list) -> tuple[list]:
-            return (assign(shared.value, _unit(np.array(vectors, float)), copies, replica_ratio),)
+            return (assign(shared.value[0], _unit(np.array(vectors, float)), replicas, replica_ratio),)
 
         return work
 
     def probe():
         def work(vectors: list) -> tuple[list]:
-            return (ranked(shared.value, _unit(np.array(vectors, float)), read).tolist(),)
+            return (lists_to_read(*shared.value, _unit(np.array(vectors, float)), ratio, typical / 2, full),)
 
         return work
 
@@ -151,15 +205,21 @@ def nearest(
     held = append_columns(kinds.select("key", "v"), ["v"], kind, index)
     held = store(held.select("key", "v", F.explode("lists").alias("list")), "postings")
     keys = asked.select("key").distinct().join(kinds.select("key", "v"), "key")
-    read = lists
-    if lists > least_lists:
-        trial = sample_by_hash(keys, "key", max_trial).toArrow()
-        names, asking = trial.column("key").to_numpy(), _matrix(trial.column("v").combine_chunks(), dims)
+    lengths = held.groupBy("list").agg(F.count("*").alias("n")).collect()
+    full = np.zeros(len(centroids), bool)
+    full[[r["list"] for r in lengths if r["n"] > k]] = True
+    trial = sample_by_hash(keys, "key", max_trial).toArrow()
+    names, asking = trial.column("key").to_numpy(), _matrix(trial.column("v").combine_chunks(), dims)
+    away = distances(_unit(asking), centroids) if len(names) else np.ones((1, 1))
+    # A query on a centroid would be within no ratio of others: count at least half of the usual distance.
+    typical = float(np.median(away.min(1)))
+    if ratio is None:
         true = _true_neighbours(kinds.select("key", "v"), names, asking, k)
         where = true.join(held.select("key", "list"), "key").groupBy("query", "key").agg(F.collect_list("list").alias("lists"))
-        rank = dict(zip(names.tolist(), np.argsort(ranked(centroids, _unit(asking), lists), 1), strict=True))
-        needed = np.array([rank[r["query"]][r["lists"]].min() + 1 for r in where.collect()])
-        read = min(lists, lists_to_read(needed, recall, least_lists))
+        rows_of = {name: i for i, name in enumerate(names.tolist())}
+        nearest_list = np.maximum(away.min(1), typical / 2)
+        needed = [away[(i := rows_of[r["query"]]), r["lists"]].min() / nearest_list[i] for r in where.collect()]
+        ratio = tuned(np.array(needed), recall)
     reads = append_columns(keys, ["v"], kind, probe)
     reads = store(reads.select(F.col("key").alias("query"), "v", F.explode("lists").alias("list")), "probes")
 
@@ -197,7 +257,7 @@ def nearest(
     found = left.groupBy(where).cogroup(right.groupBy(where)).applyInArrow(score, pairs)
     # A vector is in so many lists at most: among this many rows are k + 1 vectors, and tasks cut to them first.
     early = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "key"))
-    found = found.withColumn("place", early).filter(F.col("place") <= (k + 1) * copies)
+    found = found.withColumn("place", early).filter(F.col("place") <= (k + 1) * replicas)
     found = found.groupBy("query", "key").agg(F.max("score").alias("score"))
     best = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "key"))
     found = found.withColumn("place", best).filter(F.col("place") <= k + 1).select("query", "key", "score")
