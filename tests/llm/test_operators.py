@@ -189,6 +189,30 @@ def test_long_words_merge_alike():
 # --- packing -----------------------------------------------------------------
 
 
+def test_latin_words_pass_the_bare_model_only(monkeypatch):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    tokenizer, seen = Tokenizer.from_file(path), []
+
+    class Spy:
+        def __getattr__(self, name):
+            if name.startswith("encode"):
+                return lambda texts, **kw: seen.append(texts) or getattr(tokenizer, name)(texts, **kw)
+            return getattr(tokenizer, name)
+
+    monkeypatch.setattr(packing, "_tokenizer", lambda path: Spy())
+    encode = packing.word_encoder(path)
+
+    def ids(texts):
+        return [np.array(tokenizer.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+
+    draw = random.Random(9)
+    letters = "abcdEFÄéßŉñ   \n\t\u00a0.,;:!?'#$%019sll't\u00ad"
+    latin = ["", " ", "\n a", "it's We'LL ''s a'", *("".join(draw.choices(letters, k=80)) for _ in range(300))]
+    assert encode(latin) == ids(latin) and not seen
+    odd = ["İstanbul Σας ΣΑΣ", "a\x1cb <|endoftext|>", "e\u0301 漢字 ǆ", "a b"]
+    assert encode(odd) == ids(odd) and seen
+
+
 def test_pieces_and_sequences(spark):
     path = public_tokenizers.path("word_bpe_49k.json")
     tokenizer = Tokenizer.from_file(path)

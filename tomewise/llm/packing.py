@@ -16,26 +16,29 @@ Null text is empty: one piece with only the closing id. Repeated rows are packed
 from __future__ import annotations
 
 import gc
+import json
 import os
-import re
 import zlib
 from bisect import bisect_left, insort
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
+from tomewise.llm.bpe import byte_letters
 from tomewise.llm.common import append_columns, map_rows, store
 
 CAPACITY = 2048
-# Words of a task's cache: as many new ones again are kept until the older ones go, unless they were met once more.
-KEPT_WORDS = 150_000
+# Parts of words in a task's cache: as many new ones again are kept until the older ones go, unless they were met once more.
+KEPT_PARTS = 150_000
 # Python takes these for white space, the tokenizer does not.
-SEPARATORS = re.compile("[\x1c-\x1f]")
+SEPARATORS = "\x1c\x1d\x1e\x1f"
 # The one letter whose lower case is two characters, which may no longer be normalized.
 DOTTED = chr(0x130)
 # The mark of ids that end a word.
@@ -61,13 +64,33 @@ def _tokenizer(path: str):
     return tokenizer
 
 
+@lru_cache(1)
+def _bare_tokenizer(path: str):
+    """The model of a byte-level tokenizer alone, for parts spelled in its letters with blanks between; and these letters.
+
+    A normalized part passes the other steps unchanged, so they can be left out. None for a tokenizer of another kind.
+    """
+    from tokenizers import Tokenizer
+
+    tokenizer = _tokenizer(path)
+    data = json.loads(tokenizer.to_str())
+    steps = data["pre_tokenizer"]
+    steps = steps.get("pretokenizers", [steps]) if steps else []
+    byte_level = steps[-1] if steps else {}
+    if byte_level.get("type") != "ByteLevel" or byte_level["use_regex"] or byte_level["add_prefix_space"]:
+        return None
+    data |= {"normalizer": None, "post_processor": None}
+    data["pre_tokenizer"] = {"type": "Split", "pattern": {"String": " "}, "behavior": "Removed", "invert": False}
+    return Tokenizer.from_str(json.dumps(data)), {b: x for x, b in byte_letters().items() if b != ord(" ")}
+
+
 def word_encoder(path: str):
     """A function of a list of texts: their ids as little-endian 32-bit numbers.
 
     For tokenizers that drop white space, treat words apart and mark their ends: words and parts of words that the task
     met before are looked up. They go with the task, so that a worker's next tasks, of whatever query, have its memory.
     """
-    tokenizer = _tokenizer(path)
+    tokenizer, bare = _tokenizer(path), _bare_tokenizer(path)
     special = [x.content for x in tokenizer.get_added_tokens_decoder().values()]
     normalize = tokenizer.normalizer.normalize_str
     vocabulary = tokenizer.get_vocab()
@@ -75,72 +98,91 @@ def word_encoder(path: str):
     last[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
     # The caches hold no cycles, and looking for some in them costs more than the encoding.
     gc.set_threshold(200_000, 20, 100)
-    kept: dict[str, bytes] = {}
-    aged: dict[str, bytes] = {}
     parts: dict[str, bytes] = {}
-    aged_parts: dict[str, bytes] = {}
+    aged: dict[str, bytes] = {}
 
     def whole(text: str) -> bytes:
         return np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
 
-    def learn(words: list[str]) -> None:
-        """Encode the words' parts that are new, together: the last id of each part says so."""
-        split, new = [], set()
-        for word in words:
-            if DOTTED in word:
-                kept[word] = whole(word)
-                continue
-            latin = word.isascii() or max(word) < LATIN
-            low = word.lower() if latin else normalize(word)
-            # Most words are letters, or letters and a mark.
-            if latin and low.isalpha():
-                found = [low]
-            elif latin and low[-1] in MARKS and low[:-1].isalpha():
-                found = [low[:-1], low[-1]]
-            else:
-                found = PARTS.findall(low)
-            if len(found) == 1 and (data := parts.get(found[0])) is not None:
-                kept[word] = data
-            else:
-                split.append((word, found))
-                new.update(found)
-        fresh = recall(new, parts, aged_parts)
+    def parted(word: str) -> list[str]:
+        """The parts of a word of Latin letters, normalized before; most are letters, or letters and a mark."""
+        if word.isalpha():
+            return [word]
+        if word[-1] in MARKS and word[:-1].isalpha():
+            return [word[:-1], word[-1]]
+        return PARTS.findall(word)
+
+    def spell(words: list[str]) -> dict[str, bytes]:
+        """The ids of distinct words; their parts that are new are encoded together."""
+        latin = [w for w in words if w.isascii() or (max(w) < LATIN and DOTTED not in w)]
+        found = list(map(parted, "\n".join(latin).lower().split("\n"))) if latin else []
+        encode(recall(set().union(*found)), bare)
+        done = {}
+        if len(latin) < len(words):
+            done = {w: whole(w) for w in words if DOTTED in w}
+            others = [w for w in words if DOTTED not in w and not w.isascii() and max(w) >= LATIN]
+            more = [PARTS.findall(normalize(w)) for w in others]
+            encode(recall(set().union(*more)))
+            latin, found = latin + others, found + more
+        return done | dict(zip(latin, [parts[x[0]] if len(x) == 1 else b"".join([parts[p] for p in x]) for x in found]))
+
+    def encode(fresh: list[str], bare=None) -> None:
+        """The ids of new parts, by the bare tokenizer where it is given; the last id of each part says so."""
         for at in range(0, len(fresh), 4096):
             some = fresh[at : at + 4096]
-            ids = np.array(tokenizer.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, "<u4")
+            text, by = " ".join(some), tokenizer
+            if bare:
+                by, letters = bare
+                text = text.encode().decode("latin-1").translate(letters)
+            ids = np.array(by.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             ends = np.flatnonzero(last[ids]) + 1
             if len(ends) != len(some):  # it parts one of them once more
-                found = tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
-                ids = np.array(found.ids, "<u4")
-                ends = np.searchsorted(np.array(found.word_ids, np.int64), np.arange(len(some)), "right")
+                again = tokenizer.encode(some, is_pretokenized=True, add_special_tokens=False)
+                ids = np.array(again.ids, "<u4")
+                ends = np.searchsorted(np.array(again.word_ids, np.int64), np.arange(len(some)), "right")
             data, start = ids.tobytes(), 0
             for part, end in zip(some, (ends * 4).tolist(), strict=True):
                 parts[part] = data[start:end]
                 start = end
-        for word, found in split:
-            kept[word] = b"".join([parts[p] for p in found])
 
-    def recall(words: set[str], young: dict[str, bytes], old: dict[str, bytes]) -> list[str]:
-        """Take words from the older half of a cache to the younger; those in neither are returned."""
-        words = words - young.keys()
-        met = words & old.keys()
-        for word in met:
-            young[word] = old[word]
-        return list(words - met)
+    def recall(words: set[str]) -> list[str]:
+        """Take parts from the older half of the cache to the younger; those in neither are returned."""
+        fresh = []
+        for word in words:
+            if word not in parts:
+                if (data := aged.get(word)) is None:
+                    fresh.append(word)
+                else:
+                    parts[word] = data
+        return fresh
 
     def work(texts: list) -> list[bytes]:
-        nonlocal kept, aged, parts, aged_parts
-        if len(kept) > KEPT_WORDS:
-            kept, aged = {}, kept
-        if len(parts) > KEPT_WORDS:
-            parts, aged_parts = {}, parts
+        nonlocal parts, aged
+        if len(parts) > KEPT_PARTS:
+            parts, aged = {}, parts
         texts = [t or "" for t in texts]
-        odd = [bool(SEPARATORS.search(t)) or any(x in t for x in special) for t in texts]
-        words = [[] if alone else t.split() for t, alone in zip(texts, odd, strict=True)]
-        learn(recall(set().union(*words), kept, aged))
+        odd = [any(x in t for x in SEPARATORS) or any(x in t for x in special) for t in texts]
+        # Arrow and Python take the same characters for white space.
+        plain = pa.array(["" if alone else t for t, alone in zip(texts, odd, strict=True)], pa.large_string())
+        split = pc.utf8_split_whitespace(plain)
+        coded = split.flatten().dictionary_encode()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
+        # Empty where white space begins or ends a text.
+        known = spell([w for w in words if w])
+        found = [known[w] if w else b"" for w in words]
+        ids = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        first = np.cumsum(sizes) - sizes
+        numbers, bounds = coded.indices.to_numpy(), split.offsets.to_numpy().tolist()
+
+        def joined(words: np.ndarray) -> bytes:
+            n = sizes[words]
+            ends = np.cumsum(n)
+            return ids[np.arange(n.sum()) + np.repeat(first[words] - ends + n, n)].tobytes()
+
         return [
-            whole(t) if alone else b"".join(map(kept.__getitem__, found))
-            for t, found, alone in zip(texts, words, odd, strict=True)
+            whole(t) if alone else joined(numbers[start:end])
+            for t, alone, start, end in zip(texts, odd, bounds, bounds[1:])
         ]
 
     return work
