@@ -186,6 +186,21 @@ def test_long_words_merge_alike():
         assert bpe.Merger(vocabulary)([word.encode()])[0] == tokenizer.encode(word).ids
 
 
+def test_parts_of_the_lexicon_are_not_merged_again(monkeypatch):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    vocabulary, merged, merge = bpe.Vocabulary.read(path), [], bpe.Merger.__call__
+    lexicon = bpe.compile_lexicon(vocabulary, [" hovercraft"])
+    monkeypatch.setattr(bpe.Merger, "__call__", lambda self, words: merged.extend(words) or merge(self, words))
+    text = "My hovercraft. My hovercraft's full; hovercraft?!"
+    assert bpe.encoder(vocabulary, lexicon)([text]) == [Tokenizer.from_file(path).encode(text).ids]
+    assert b" hovercraft" not in merged and len(merged) == len(set(merged))
+
+
+def test_frequent_words_are_counted_whole(spark):
+    rows = [(1, " a b\u00a0a\n"), (2, None), (3, ""), (4, "c a\x1cb d"), (5, "c\u3000a ")]
+    assert sorted(bpe.frequent_words(frame(spark, rows, 2), flush=1)) == [" a", " b", " c"]
+
+
 # --- packing -----------------------------------------------------------------
 
 

@@ -15,8 +15,8 @@ import hashlib
 import heapq
 import json
 import mmap
+import re
 import tempfile
-from collections import Counter
 from collections.abc import Callable
 from dataclasses import dataclass
 from functools import lru_cache
@@ -25,17 +25,18 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from tomewise.llm.common import append_columns, map_rows, most_frequent
+from tomewise.llm.common import SLICE_ROWS, append_columns, map_rows, most_frequent
 
 # White space as the tokenizer's patterns see it.
 SPACE = "\t-\r \x85\xa0  -     　"
 # A word with the blank before it, or a run of white space without the blank that goes to the next word.
-CHUNK = regex.compile(f"( ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+)")
+CHUNK = re.compile(f"( ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+)")
 PARTS = regex.compile(
     rf"'s|'t|'re|'ve|'m|'ll|'d| ?\p{{L}}+| ?\p{{N}}+| ?[^{SPACE}\p{{L}}\p{{N}}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+"
 )
@@ -43,6 +44,8 @@ PARTS = regex.compile(
 KEPT_WORDS = 500_000
 # Letters below this are letters to Python and to the pattern alike, and fall into one part.
 LATIN = "\u0250"
+# Marks that make one part behind letters; an apostrophe may belong to what follows it, but then the word does not end in marks.
+MARKS = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 LONG_WORD = 256
 # Ranks lie below.
 NO_PAIR = np.int64(1) << 30
@@ -257,15 +260,23 @@ class Lexicon:
         return [ids[offsets[n] : offsets[n + 1]].tolist() if n >= 0 else None for n in number.tolist()]
 
 
-def _merge_parts(merger: Merger, words: list[str]) -> list[list[int]]:
-    """Exact ids of words: each is parted by the tokenizer's pattern, and equal parts are merged once."""
-    parted = [
-        [w] if (w[1:] if w[0] == " " else w).isalpha() and (w.isascii() or max(w) < LATIN) else PARTS.findall(w)
-        for w in words
-    ]
-    parts = list(dict.fromkeys(chain.from_iterable(parted)))
-    ids = dict(zip(parts, merger([p.encode("utf-8", "surrogatepass") for p in parts])))
-    return [list(chain.from_iterable(ids[p] for p in x)) for x in parted]
+def _parted(word: str) -> list[str]:
+    """The parts of a word by the tokenizer's pattern; most are letters, or letters and marks."""
+    stem = word.rstrip(MARKS)
+    if (stem[1:] if stem[:1] == " " else stem).isalpha() and (stem.isascii() or max(stem) < LATIN):
+        return [stem, word[len(stem) :]] if len(stem) < len(word) else [word]
+    return PARTS.findall(word)
+
+
+def _merge_parts(merger: Merger, words: list[str], lexicon: Lexicon | None = None) -> list[list[int]]:
+    """Exact ids of words: each is parted by the tokenizer's pattern, and equal parts are looked up or merged once."""
+    parted = list(map(_parted, words))
+    parts = list(set().union(*parted))
+    spelled = [p.encode("utf-8", "surrogatepass") for p in parts]
+    found = lexicon.find(spelled) if lexicon else [None] * len(parts)
+    merged = iter(merger([p for p, known in zip(spelled, found) if known is None]))
+    ids = {p: next(merged) if known is None else known for p, known in zip(parts, found)}
+    return [ids[x[0]] if len(x) == 1 else list(chain.from_iterable([ids[p] for p in x])) for x in parted]
 
 
 def chunk_encoder(vocabulary: Vocabulary, lexicon: Lexicon, entry: Callable[[list[int]], Any], kept: dict[str, Any]):
@@ -289,11 +300,11 @@ def chunk_encoder(vocabulary: Vocabulary, lexicon: Lexicon, entry: Callable[[lis
                 )
             else:
                 split.append(CHUNK.findall(t))
-        new = list(set().union(*split) - kept.keys())
+        new = [w for w in set().union(*split) if w not in kept]
         found = lexicon.find([w.encode("utf-8", "surrogatepass") for w in new])
         rest = [w for w, ids in zip(new, found) if ids is None]
         kept.update((w, entry(ids)) for w, ids in zip(new, found) if ids is not None)
-        kept.update(zip(rest, map(entry, _merge_parts(merger, rest))))
+        kept.update(zip(rest, map(entry, _merge_parts(merger, rest, lexicon))))
         return [list(map(kept.__getitem__, x)) for x in split]
 
     return work
@@ -316,26 +327,29 @@ def frequent_words(df: DataFrame, text: str = "text", max_words: int = 60_000, f
     Each task counts on its own and passes its counts on whenever it holds ``flush`` words.
     """
     schema = StructType([StructField("word", StringType(), False), StructField("n", LongType(), False)])
-    arrow = pa.schema([("word", pa.string()), ("n", pa.int64())])
+    arrow = pa.schema([("word", pa.large_string()), ("n", pa.int64())])
+    sent = pa.schema([("word", pa.string()), ("n", pa.int64())])
 
     def count(batches):
-        seen: Counter = Counter()
+        held: list[pa.Table] = []
 
-        def rows():
-            batch = pa.RecordBatch.from_arrays(
-                [pa.array(seen.keys(), pa.string()), pa.array(seen.values(), pa.int64())], schema=arrow
-            )
-            seen.clear()
-            return batch
+        def summed() -> pa.Table:
+            one = pa.concat_tables(held or [arrow.empty_table()])
+            return one.group_by("word", use_threads=False).aggregate([("n", "sum")]).select(["word", "n_sum"])
 
         for batch in batches:
-            for value in batch.column(0):
-                seen.update((value.as_py() or "").split())
-                if len(seen) >= flush:
-                    yield rows()
-        yield rows()
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                texts = batch.column(0).slice(at, SLICE_ROWS).cast(pa.large_string())
+                found = pc.utf8_split_whitespace(texts).flatten().value_counts()
+                held.append(pa.Table.from_arrays([found.field(0), found.field(1)], schema=arrow))
+                if sum(t.num_rows for t in held) >= 2 * flush:
+                    held = [summed().rename_columns(arrow.names)]
+                    if held[0].num_rows >= flush:
+                        yield from held.pop().cast(sent).to_batches()
+        yield from summed().rename_columns(arrow.names).cast(sent).to_batches()
 
     counted = df.select(F.col(text).alias("text")).mapInArrow(count, schema).groupBy("word").agg(F.sum("n").alias("n"))
+    counted = counted.filter("word != ''")  # where white space begins or ends a text
     return [" " + r["word"] for r in most_frequent(counted.filter("n > 1"), max_words).select("word").collect()]
 
 
