@@ -70,6 +70,13 @@ def test_author_edges(profiles, pairs, sizes):
     assert len(got) == len(pairs) and set(got) == pairs
 
 
+@pytest.mark.parametrize("limit", [0, 1 << 26], ids=["shuffled", "broadcast"])
+def test_author_edges_with_names_looked_up(profiles, pairs, sizes, monkeypatch, limit):
+    monkeypatch.setattr(network, "TASK_PAIRS", 50)
+    got = tuples(network.author_edges(profiles, limit))
+    assert len(got) == len(pairs) and set(got) == pairs
+
+
 def test_totals(profiles, edges, pairs, sizes):
     assert tuple(network.influence_totals(profiles).head()) == (len(edges), len(pairs))
 

@@ -112,6 +112,20 @@ def stored(monkeypatch):
     return plans
 
 
+def test_author_edges_shuffle_no_names(spark, stored):
+    """Profile pairs are dealt out before their authors are spelled out, and are summed without a sort of all rows."""
+    rows = [(f"b{i}", f"A{i}", 1990 + i % 3) for i in range(9)]
+    books = spark.createDataFrame(rows, "file_name string, author string, release_year int")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(network.author_edges(store(network.author_profiles(books), "profiles")))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" not in text and text.count("BroadcastHashJoin") == 2
+    assert [x for x in shuffles(text) if "hashpartitioning" in x and "late_piece" not in x] == []
+    assert "SortAggregate" not in stored["profile-edges"][0]
+
+
 @pytest.mark.parametrize("name", ["tfidf", "doc_vectors", "similar_pairs", "top_similar_pairs", "avg_similarity"])
 def test_texts_are_read_once(spark, stored, name):
     last = plan(QUERIES[name](spark, SF_DIR))
