@@ -126,6 +126,16 @@ def test_author_edges_shuffle_no_names(spark, stored):
     assert "SortAggregate" not in stored["profile-edges"][0]
 
 
+def test_all_pairs_shuffle_no_products(spark, monkeypatch):
+    """Words of documents are dealt out by cell; joins and sums over pairs take place there."""
+    rows = [(f"b{i}", f"cat dog w{i % 3} v{i % 4}") for i in range(12)]
+    books = spark.createDataFrame(rows, "file_name string, text string")
+    monkeypatch.setattr(similarity, "CHUNK_POSTINGS", 4)
+    text = plan(similarity.cosine_pairs(store(tfidf.tfidf(books), "weights")))
+    assert len([x for x in shuffles(text) if "REPARTITION_BY_NUM" in x and "cell" in x]) == 2
+    assert "ENSURE_REQUIREMENTS" not in text
+
+
 @pytest.mark.parametrize("name", ["tfidf", "doc_vectors", "similar_pairs", "top_similar_pairs", "avg_similarity"])
 def test_texts_are_read_once(spark, stored, name):
     last = plan(QUERIES[name](spark, SF_DIR))
