@@ -128,7 +128,7 @@ def test_author_edges_shuffle_no_names(spark, stored):
 
 def test_all_pairs_shuffle_no_products(spark, monkeypatch):
     """Words of documents are dealt out by cell; joins and sums over pairs take place there."""
-    rows = [(f"b{i}", f"cat dog w{i % 3} v{i % 4}") for i in range(12)]
+    rows = [(f"b{i}", f"cat dog {'abc'[i % 3] * 3} {'stuv'[i % 4] * 3}") for i in range(12)]
     books = spark.createDataFrame(rows, "file_name string, text string")
     monkeypatch.setattr(similarity, "CHUNK_POSTINGS", 4)
     text = plan(similarity.cosine_pairs(store(tfidf.tfidf(books), "weights")))
@@ -136,6 +136,18 @@ def test_all_pairs_shuffle_no_products(spark, monkeypatch):
     assert "ENSURE_REQUIREMENTS" not in text
 
 
+def test_words_of_candidates_are_shuffled_by_document(spark):
+    """A word is dealt out once for each cell of its document, not for each pair."""
+    rows = [(f"b{i}", f"cat dog {'abc'[i % 3] * 3} {'stuv'[i % 4] * 3}") for i in range(12)]
+    weights = store(tfidf.tfidf(spark.createDataFrame(rows, "file_name string, text string")), "weights")
+    units = store(similarity.unit_vectors(weights), "units")
+    candidates = store(similarity._candidates(units, "file_name", 0.3), "candidates")
+    assert candidates.count() == 30
+    text = plan(similarity._cosines(units, candidates, "file_name"))
+    assert not [x for x in shuffles(text) if "word" in x]
+    assert not [x for x in shuffles(text) if "ENSURE_REQUIREMENTS" in x and "book1" in x and "book2" in x]
+
+
 @pytest.mark.parametrize("name", ["tfidf", "doc_vectors", "similar_pairs", "top_similar_pairs", "avg_similarity"])
 def test_texts_are_read_once(spark, stored, name):
     last = plan(QUERIES[name](spark, SF_DIR))
