@@ -136,13 +136,14 @@ def test_all_pairs_shuffle_no_products(spark, monkeypatch):
     assert "ENSURE_REQUIREMENTS" not in text
 
 
-def test_words_of_candidates_are_shuffled_by_document(spark):
+def test_words_of_candidates_are_shuffled_by_document(spark, monkeypatch):
     """A word is dealt out once for each cell of its document, not for each pair."""
     rows = [(f"b{i}", f"cat dog {'abc'[i % 3] * 3} {'stuv'[i % 4] * 3}") for i in range(12)]
     weights = store(tfidf.tfidf(spark.createDataFrame(rows, "file_name string, text string")), "weights")
     units = store(similarity.unit_vectors(weights), "units")
     candidates = store(similarity._candidates(units, "file_name", 0.3), "candidates")
     assert candidates.count() == 30
+    monkeypatch.setattr(similarity, "CHUNK_POSTINGS", 2)
     text = plan(similarity._cosines(units, candidates, "file_name"))
     assert not [x for x in shuffles(text) if "word" in x]
     assert not [x for x in shuffles(text) if "ENSURE_REQUIREMENTS" in x and "book1" in x and "book2" in x]
