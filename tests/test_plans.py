@@ -98,6 +98,15 @@ def test_only_bounded_tables_are_broadcast_in_the_year_join(spark):
     assert all("year_late" in x for x in re.findall(r"BroadcastHashJoin .*", text))
 
 
+def test_sides_of_the_year_join_are_not_broadcast_for_a_short_file(spark):
+    """Their rows are multiplied by years and chunks, which the size of a stored table says nothing of."""
+    rows = [(f"b{i}", f"A{i}", 1990 + i % 3) for i in range(9)]
+    books = store(spark.createDataFrame(rows, "file_name string, author string, release_year int"), "books")
+    text = plan(network.book_edges(books))
+    assert "SortMergeJoin [year_late" in text
+    assert not [x for x in re.findall(r"BroadcastHashJoin .*", text) if "chunk" in x.split("],")[0]]
+
+
 @pytest.fixture
 def stored(monkeypatch):
     """The plans of all tables that are stored, by name."""
