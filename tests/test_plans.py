@@ -158,6 +158,28 @@ def test_words_of_candidates_are_shuffled_by_document(spark, monkeypatch):
     assert not [x for x in shuffles(text) if "ENSURE_REQUIREMENTS" in x and "book1" in x and "book2" in x]
 
 
+def test_best_pairs_store_no_weights(spark, stored):
+    """With enough copies only the words that the search reads are stored; documents are shuffled before they are spelled out."""
+    rows = [(f"b{i}", f"cat dog {'abc'[i % 3] * 3} {'stuv'[i % 4] * 3}") for i in range(60)]
+    terms = tfidf.stored_terms(spark.createDataFrame(rows, "file_name string, text string"))
+    assert similarity.top_similar_pairs(terms).count() == 20
+    assert "weights" not in stored and "heads" in stored
+    for text in stored["heads"]:
+        assert text.count("Sort [file_name") == 1
+        assert not [x for x in shuffles(text) if "hashpartitioning(file_name" in x and "BY_NUM" not in x]
+
+
+@pytest.mark.parametrize("broadcast_bytes", [1 << 25, 300])
+def test_unit_vectors_by_document_shuffle_no_words(spark, broadcast_bytes):
+    """Parts of the vocabulary that are looked up apart come together without another shuffle."""
+    terms = tfidf.stored_terms(documents(spark, SF_DIR), "doc_id")
+    weights = tfidf.weigh_by_document(terms, tfidf.vocabulary(terms), "doc_id", broadcast_bytes)
+    text = plan(similarity.unit_vectors(weights, "doc_id"))
+    by_document = [x for x in shuffles(text) if "hashpartitioning(doc_id" in x]
+    assert len(by_document) == (1 if broadcast_bytes > 300 else 2)
+    assert all("REPARTITION_BY_NUM" in x for x in by_document)
+
+
 @pytest.mark.parametrize("name", ["tfidf", "doc_vectors", "similar_pairs", "top_similar_pairs", "avg_similarity"])
 def test_texts_are_read_once(spark, stored, name):
     last = plan(QUERIES[name](spark, SF_DIR))

@@ -70,3 +70,11 @@ def test_books_without_words_count_as_books(spark):
         "b": 0,
         "c": 0,
     }
+
+
+@pytest.mark.parametrize("broadcast_bytes, least", [(1 << 20, 0), (300, 8), (0, 64)])
+def test_weights_dealt_out_by_document(df, books, broadcast_bytes, least):
+    terms = tfidf.stored_terms(df)
+    words = tfidf.vocabulary(terms)
+    assert (tfidf._least_frequency(words, broadcast_bytes) > 0) == (least > 0)
+    check_weights(tfidf.weigh_by_document(terms, words, broadcast_bytes=broadcast_bytes).collect(), books)
