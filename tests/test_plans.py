@@ -158,6 +158,14 @@ def test_words_of_candidates_are_shuffled_by_document(spark, monkeypatch):
     assert not [x for x in shuffles(text) if "ENSURE_REQUIREMENTS" in x and "book1" in x and "book2" in x]
 
 
+def test_candidates_shuffle_no_products(spark):
+    """Where products outnumber words, words are dealt out by cell, and products are summed in place."""
+    rows = [(f"b{i}", f"cat dog {'abc'[i % 3] * 3} {'stuv'[i % 4] * 3}") for i in range(60)]
+    weights = store(tfidf.tfidf(spark.createDataFrame(rows, "file_name string, text string")), "weights")
+    text = plan(similarity._candidates(store(similarity.unit_vectors(weights), "units"), "file_name", 0.3))
+    assert "SortMergeJoin [cell" in text and "ENSURE_REQUIREMENTS" not in text
+
+
 def test_best_pairs_store_no_weights(spark, stored):
     """With enough copies only the words that the search reads are stored; documents are shuffled before they are spelled out."""
     rows = [(f"b{i}", f"cat dog {'abc'[i % 3] * 3} {'stuv'[i % 4] * 3}") for i in range(60)]
